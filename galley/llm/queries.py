@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galley.llm.decontaminate import contaminated
 from galley.llm.exact import exact_dedup
 from galley.llm.lm import score_documents
 from galley.llm.near import near_dedup
 from galley.llm.packing import pack_documents
 from galley.llm.sharding import shard_documents
 from galley.llm.substring import substring_dedup
+from galley.llm.tokencount import section_tokens
+from galley.llm.toxicity import fit_chain, score_toxicity
+
+#: The chain over the labels table: quality first, as its probability helps to tell toxic texts.
+CATEGORIES = ("quality", "toxic")
 
 OP1_SQL = """
 WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
@@ -33,14 +39,28 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    chain = fit_chain(docs, _table(spark, sf_dir, "labels"), CATEGORIES)
+    return score_toxicity(docs, chain, CATEGORIES)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 

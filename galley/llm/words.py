@@ -95,7 +95,7 @@ class Words:
         join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
         self.data, self.starts, self.ends = data, join(starts, np.int64), join(ends, np.int64)
         k = 1 + len(prefixes)
-        self.hashes = [join(hashes[i::k], U) for i in range(k)] if prefixes else join(hashes, U)
+        self.hashes = [join(hashes[i::k], U) for i in range(k)] if prefixes else join(hashes, U)  # a list with prefixes
         self.first = np.searchsorted(self.starts, offsets)
 
     @classmethod
