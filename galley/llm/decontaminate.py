@@ -172,6 +172,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.groupBy("doc_id", "item_id").agg(best, F.count(F.lit(1)).alias("n_passages")).select("doc_id", "item_id", "best.score", "best.start_word", "best.end_word", "n_passages")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 4, rare: float = 1e-9, threshold: float = 0.5, block_words: int = 500_000) -> DataFrame:
+    """The rows of docs, all columns as they are, that hold no aligned passage of the benchmark."""
+    spark = docs.sparkSession
+    at, out = docs.columns.index(text_col), docs
+    text = docs.select(F.lit(0).alias("id"), docs[text_col].alias("text"))
+    for items in _blocks(benchmark.select(benchmark[item_col].cast("bigint"), benchmark[item_text]), n, block_words):
+        counts, total = _count_words(text, items.vocabulary)
+        items.keep_rare(counts, total, rare)
+        shared = spark.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items = shared.value
+            table = np.zeros(1 << TABLE_BITS, bool)
+            table[(items.gram & U((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
+            for b in batches:
+                doc = find_passages(Words.of(b.column(at), lower=True), items, table, threshold)[0]
+                good = np.ones(b.num_rows, bool)
+                good[doc] = False
+                yield b.filter(pa.array(good))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
+
+
 def _count_words(text: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """How often all documents have each word of the block's vocabulary, and all their words."""
     shared = text.sparkSession.sparkContext.broadcast(vocabulary)

@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,19 +39,17 @@ def normalise(texts: pa.Array) -> pa.Array:
 
 
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 33
     for b in batches:
         raw = [x.as_buffer() for x in normalise(b.column(1))]
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0),
-                pa.array(np.arange(row, row + len(raw), dtype=np.int64)),
+                b.column(2),
                 pa.array(np.array([xxhash.xxh3_64_intdigest(x) for x in raw], U).view(np.int64)),
                 pa.array([hashlib.sha256(x).digest() for x in raw], pa.binary()),
             ],
             names=["id", "row", "fp", "sha"],
         )
-        row += len(raw)
 
 
 def repeated_fingerprints(hashed: DataFrame) -> DataFrame:
@@ -106,10 +103,11 @@ def route_bitmap(repeated: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row a document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text), and row: the
+    column row_col, which must tell rows apart, or a number of ours."""
     spark = docs.sparkSession
-    pair = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
+    pair = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"), (docs[row_col] if row_col else F.monotonically_increasing_id()).alias("row"))
     hashed = materialize(pair.mapInArrow(_hash, "id bigint, row bigint, fp bigint, sha binary"), "hashed")
     repeated = materialize(repeated_fingerprints(hashed), "repeated")
     route = spark.sparkContext.broadcast(route_bitmap(repeated))
@@ -143,4 +141,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
         (F.col("size").isNull() | (F.col("keep.row") == F.col("row"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        "row",
     )

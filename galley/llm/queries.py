@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from galley.llm.decontaminate import contaminated
 from galley.llm.exact import exact_dedup
+from galley.llm.licenses import license_scan
 from galley.llm.lm import score_documents
 from galley.llm.near import near_dedup
 from galley.llm.packing import pack_documents
@@ -32,7 +33,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_table(spark, sf_dir, "documents"))
+    return exact_dedup(_table(spark, sf_dir, "documents")).drop("row")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,13 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    # the table has no paths: a document lies in a directory of its source, and there of its language
+    path = F.concat_ws("/", docs.source, docs.lang, F.concat(docs.doc_id.cast("string"), F.lit(".txt")))
+    return license_scan(docs, path)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     chain = fit_chain(docs, _table(spark, sf_dir, "labels"), CATEGORIES)

@@ -182,3 +182,17 @@ def score_toxicity(docs: DataFrame, chain: Chain, categories: Sequence[str], id_
 
     kinds = ", ".join(f"{n} double" for n in names[1:-1])
     return docs.select(docs[id_col].cast("bigint"), docs[text_col]).mapInArrow(run, f"doc_id bigint, {kinds}, rejected boolean")
+
+
+def drop_toxic(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns as they are, that score_toxicity doesn't reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = shared.value
+        for b in batches:
+            doc, feature = _presence(b.column(at), chain.wanted)
+            yield b.filter(pa.array(chain.probabilities(doc, feature, b.num_rows)[:, -1] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
