@@ -7,6 +7,16 @@ import os
 from pyspark.sql import SparkSession
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did. On a cluster the same path,
+    or --py-files, has to provide it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def get_session(app: str = "galley", cores: int | None = None, **conf: str) -> SparkSession:
     """The active session, or a local one. On a cluster pass nothing: spark-submit's settings hold."""
     active = SparkSession.getActiveSession()
