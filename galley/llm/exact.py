@@ -129,12 +129,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("fp", F.unhex(F.sha2("text", 256)).alias("sha"))
         .groupBy("fp", "sha").agg(F.count(F.lit(1)).alias("n_texts"))
     )
-    groups = (
+    groups = materialize(
         hashed.join(repeated, "fp", "left_semi")
         .groupBy("fp", "sha").agg(F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("size"))
         .join(verified, ["fp", "sha"])
-        .select("fp", "sha", "keep", F.when(F.col("n_texts") == 1, F.col("size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("bigint")).alias("size"))
-    )
+        .select("fp", "sha", "keep", F.when(F.col("n_texts") == 1, F.col("size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("bigint")).alias("size")),
+        "groups",
+    )  # fmt: skip  # written, so that Spark can split a large group's rows in the last join
     return hashed.join(groups, ["fp", "sha"], "left").select(
         F.col("id").alias("doc_id"),
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
