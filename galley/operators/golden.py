@@ -55,7 +55,8 @@ def header_diff(actual: DataFrame, golden: DataFrame) -> DataFrame:
 def verify_labels(files: DataFrame, classes: int) -> DataFrame:
     """(split, stem, line, problem) of label files (split, stem, text): number of fields, parse, class range,
     coordinates. An empty file is a valid negative."""
-    lines = files.filter(F.trim("text") != "").select("split", "stem", F.posexplode(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\r?\n")).alias("at", "row"))
+    bare = F.regexp_replace("text", r"^\s+|\s+$", "")
+    lines = files.filter(bare != "").select("split", "stem", F.posexplode(F.split(bare, r"\r?\n")).alias("at", "row"))
     parts = F.filter(F.split("row", r"\s+"), lambda p: p != "")
     parsed = lines.withColumn("p", parts).withColumns(
         {"cls": F.get("p", F.lit(0)).try_cast("int"), "v": F.transform(F.slice("p", 2, 4), lambda x: x.try_cast("double"))}
