@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.words import Words
+from galley.llm.words import Words, slices
 
 U = np.uint64
 FEATURES = 400
@@ -33,8 +33,13 @@ RIDGE = 0.1
 TABLE_BITS = 20
 
 
-def _presence(b: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _presence(column: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Document indices and 32-bit features, distinct and sorted by document; only wanted ones (sorted) if given."""
+    parts = [(at + doc, feature) for at, rows in slices(column) for doc, feature in (_presence_of(rows, wanted),)]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
+
+
+def _presence_of(b: pa.Array, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     words = Words.of(b, lower=True, prefixes=PREFIXES)
     if not isinstance(words.hashes, list) or not len(words.starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -145,7 +150,7 @@ class Chain:
         return 1 / (1 + np.exp(-logits))
 
 
-def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id", text_col: str = "text", sample: int = 8000) -> Chain:
+def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id", text_col: str = "text", sample: int = 5000) -> Chain:
     """Fit on at most ``sample`` labelled rows, those with the least hash of their id."""
     known = labels.select(labels[id_col].cast("bigint").alias("id"), *[labels[c].cast("double").alias(f"y{j}") for j, c in enumerate(categories)])
     chosen = known.filter("id is not null").orderBy(F.xxhash64("id"), "id", *[f"y{j}" for j in range(len(categories))]).limit(sample)
@@ -161,11 +166,16 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
     kinds = ", ".join(f"y{j} double" for j in range(len(categories)))
     rows = text.join(F.broadcast(chosen), "id").mapInArrow(features, f"id bigint, f binary, {kinds}").toArrow()
     rows = rows.sort_by([(n, "ascending") for n in rows.column_names if n != "f"])
-    lists = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows["f"].to_pylist()]
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    y = np.column_stack([np.array(rows[f"y{j}"].to_pylist(), float) for j in range(len(categories))]) if len(lists) else np.zeros((0, len(categories)))
+    y = np.column_stack([np.array(rows[f"y{j}"].to_pylist(), float) for j in range(len(categories))]) if len(rows) else np.zeros((0, len(categories)))
     ids = np.array(rows["id"].to_pylist(), np.int64)
-    return Chain.fit(doc, np.concatenate([*lists, np.zeros(0, np.int64)]), y, (ids * 2654435761 >> 7) % FOLDS)
+    size = np.array([len(x) // 4 for x in rows["f"].to_pylist()], np.int64)
+    feature = np.frombuffer(b"".join(rows["f"].to_pylist()), "<u4")
+    del rows
+    # features of fewer documents than LEAST can't be chosen; without them the rest is much smaller
+    names, n = np.unique(feature, return_counts=True)
+    often = np.isin(feature, names[n >= LEAST])
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)[often]
+    return Chain.fit(doc, feature[often].astype(np.int64), y, (ids * 2654435761 >> 7) % FOLDS)
 
 
 def score_toxicity(docs: DataFrame, chain: Chain, categories: Sequence[str], id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 SEPARATOR = np.zeros(256, bool)
@@ -111,6 +112,16 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), self.counts)
 
 
+def slices(column: pa.Array, size: int = 4 << 20):
+    """(first row, rows) of runs of whole rows of about size bytes, so that arrays over words stay small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield at, column.slice(at, stop - at)
+        at = stop
+
+
 def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of n words inside one document, and the index of their first word."""
     if len(hashes) < n:
