@@ -33,5 +33,5 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while (now := _checksum(edges)) != before:
         before = now
-        edges = materialize(_star(materialize(_star(edges, True), "large"), False), "small")
+        edges = materialize(_star(_star(edges, True), False), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -8,11 +8,15 @@ Signatures: a shingle of one document alone can't be a sample that two documents
 shingles of a document draw one sample by their total weight, which has the distribution of the
 least of theirs. Every other shingle is drawn by improved consistent weighted sampling.
 
-Banding and verification lose no link inside a bucket and never emit all its pairs. Each
-round compares every member with the bucket's centres (one, then up to 4, 16, ...). 1 - J is a metric, so a
-member linked to its centre can have further links only with members still open that lie
-within their two distances of the same centre: it stays while there are such, otherwise it goes.
-Links are joined to classes by alternating large and small stars.
+J of two texts is at most the share of the weight that other texts have, too: texts for which that is below
+the threshold have no link, and drop out before sampling.
+
+Verification loses no link inside a bucket. The first round compares every member with the
+bucket's most typical one. 1 - J is a metric, so a member linked to it can have further links only with
+open members that lie within their two distances of it: it stays while there are such, otherwise it goes.
+Links are joined to classes by alternating large and small stars; members of one class are no longer
+compared, and a bucket of one class ends. What is left is small (one task compares it) or
+takes rounds in which one member of each class, then 4, 16, ..., meets all possible partners and goes.
 
 Texts with the same words are one node from the start; texts of fewer than five words have no
 shingles, so only that joins them. Null counts as empty. A null doc_id is the last choice. Repeated rows are members like others. An empty
@@ -38,6 +42,8 @@ from galley.llm.words import Words, mix, windows
 
 U = np.uint64
 KEY_BITS = 48
+#: Members of a bucket that one task compares at once; larger buckets take rounds over all tasks.
+SMALL = 256
 IDF_SHARE = 0.1
 _G1, _G2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 SCHEMA = "doc_id bigint, node binary, weight double, bands array<bigint>, vector binary"
@@ -108,20 +114,19 @@ def _vector(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key, tf, unpack_counts(body, len(key), at)[0]
 
 
-def weighted_jaccard(a: bytes, weight_a: float, b: bytes, weight_b: float, documents: int) -> float:
-    """Of two documents by their shared shingles and total weights."""
-    ka, ta, da = _vector(a)
-    kb, tb, _ = _vector(b)
+def shared_weight(a: tuple, b: tuple, documents: int) -> float:
+    """The weight that two vectors (key, tf, df) have in common."""
+    (ka, ta, da), (kb, tb, _) = a, b
     at = np.searchsorted(kb, ka)
     at[at == len(kb)] = 0
     both = kb[at] == ka if len(kb) else np.zeros(len(ka), bool)
-    common = float((np.minimum(ta[both], tb[at[both]]) * idf(da[both], documents)).sum())
-    return common / (weight_a + weight_b - common)
+    return float((np.minimum(ta[both], tb[at[both]]) * idf(da[both], documents)).sum())
 
 
-def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, bands: int, rows: int) -> DataFrame:
+def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, bands: int, rows: int, threshold: float) -> DataFrame:
     """One row a document: node (hash of its words), total weight, band hashes and vector of the
-    shingles that more documents have (null where there is none)."""
+    shingles that more documents have. Bands and vector are null where those weigh less than threshold of the
+    total: J is at most that share, so the document has no link."""
     bits = C.bits_of(docs)
     stored = C.store(docs, id_col, text_col)
 
@@ -150,21 +155,23 @@ def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int,
         total = np.bincount(doc, weight, n)
         shared = df > 1
         private = np.bincount(doc[~shared], weight[~shared], n)
+        linkable = (total - private >= threshold * total * (1 - 1e-9)) & (total > 0)
+        alive = shared & linkable[doc]
         # two independent hashes over a document's words name its node
         step = np.arange(len(words.hashes), dtype=U) - words.first[:-1].astype(U)[words.document()]
         digest = []
         for salt in (_G1, _G2):
             run = np.concatenate([np.zeros(1, U), np.cumsum(mix((words.hashes ^ salt) + mix(step * salt)))])
             digest.append(mix((run[words.first[1:]] - run[words.first[:-1]]) ^ words.counts.astype(U)))
-        sample = signatures(key[shared], weight[shared], doc[shared], private, digest[0], bands * rows)
+        sample = signatures(key[alive], weight[alive], doc[alive], private, digest[0], bands * rows)
         band = np.zeros((n, bands), U)
         for j in range(bands):
             h = np.full(n, j + 1, U)
             for k in range(j * rows, (j + 1) * rows):
                 h = mix(h * _G1 ^ sample[:, k])
             band[:, j] = h
-        edges = np.concatenate([[0], np.cumsum(np.bincount(doc[shared], minlength=n))]).tolist()
-        ks, ts, ds = key[shared], tf[shared], df[shared]
+        edges = np.concatenate([[0], np.cumsum(np.bincount(doc[alive], minlength=n))]).tolist()
+        ks, ts, ds = key[alive], tf[alive], df[alive]
         some = np.diff(edges) > 0
         vectors = [_pack_vector(ks[a:b], ts[a:b], ds[a:b]) if a < b else None for a, b in zip(edges[:-1], edges[1:], strict=True)]
         nodes = np.stack(digest, 1)
@@ -187,9 +194,16 @@ def _distances(pairs: DataFrame, vectors: DataFrame, limit: float) -> DataFrame:
     """node, center, d of the pairs with 1 - J of at most limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None  # rows come sorted by centre, so a centre is unpacked once
         for b in batches:
-            va, wa, vb, wb, n = (b.column(i).to_pylist() for i in range(2, 7))
-            d = np.array([1 - weighted_jaccard(*x) for x in zip(va, wa, vb, wb, n, strict=True)])
+            d = np.empty(b.num_rows)
+            for at in range(0, b.num_rows, 256):
+                rows = zip(*(b.column(i).slice(at, 256).to_pylist() for i in range(1, 7)), strict=True)
+                for i, (center, va, wa, vb, wb, n) in enumerate(rows, at):
+                    if center != last:
+                        last, held = center, _vector(vb)
+                    common = shared_weight(_vector(va), held, n)
+                    d[i] = 1 - common / (wa + wb - common)
             near = pa.array(d <= limit)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near), pa.array(d).filter(near)], names=["node", "center", "d"])
 
@@ -198,45 +212,137 @@ def _distances(pairs: DataFrame, vectors: DataFrame, limit: float) -> DataFrame:
     return pairs.join(left, "node").join(right, "center").select("node", "center", "va", "wa", "vb", "wb", "documents").mapInArrow(run, "node binary, center binary, d double")
 
 
+def _undecided(members: DataFrame) -> DataFrame:
+    """(bucket, n) of the buckets whose members aren't all of one component yet."""
+    return members.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b").select("bucket", "n")
+
+
+def _alive(members: DataFrame, threshold: float) -> DataFrame:
+    """Members that can have a link in their bucket. Two texts have at most the lesser of their shared weights in
+    common, so J >= t asks of a partner a weight of at most (1 + t)/t times one's shared weight less one's own."""
+    least = members.groupBy("bucket").agg(F.min("weight").alias("least"))
+    room = F.lit((1 + threshold) / threshold * (1 + 1e-9)) * F.col("shared") - F.col("weight")
+    return members.join(least, "bucket").filter(F.col("least") <= room).drop("least")
+
+
+def _small_buckets(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """Links (node, center) that join the components inside buckets of at most SMALL members."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table[c].to_pylist() for c in ("node", "root", "weight", "vector", "documents", "shared")), strict=True), key=lambda r: r[2])
+        parent: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        open_, out = [], []
+        for node, root, weight, vector, n, most in rows:  # by rising weight; J is at most the ratio of the weights
+            open_ = [o for o in open_ if o[2] >= threshold * weight * (1 - 1e-9)]
+            v = _vector(vector)
+            for other, r, w, u, least in open_:
+                if (1 + threshold) * (1 + 1e-9) * min(most, least) >= threshold * (w + weight) and find(r) != find(root):
+                    common = shared_weight(u, v, n)
+                    if common >= (threshold - 1e-9) * (w + weight - common):
+                        parent[find(r)] = find(root)
+                        out.append((node, other))
+            open_.append((node, root, weight, v, most))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["node", "center"])
+
+    rows = members.select("bucket", "node", "root", "shared").join(vectors, "node")
+    return rows.groupBy("bucket").applyInArrow(run, "node binary, center binary")
+
+
 def near_links(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Verified links (node, center) between nodes (columns node, bands, vector, weight, documents)."""
+    """Verified links (node, center) between nodes (columns node, bands, vector, weight, documents), enough
+    for the components that all links inside buckets would give.
+
+    Members of one component needn't be compared any more, and a bucket ends when it has one component. After the first
+    round, buckets of at most SMALL members end in one task each; larger ones take more rounds."""
     reach, slack = 1 - threshold, 1e-9
-    banded = nodes.filter("vector is not null").select("node", F.explode("bands").alias("bucket"))
-    crowded = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = materialize(banded.join(crowded, "bucket", "left_semi"), "members")
-    vectors = nodes.filter("vector is not null").select("node", "vector", "weight", "documents")
-    links = None
-    centres = 1
-    while members.limit(1).count():
-        parts = [F.pmod(F.xxhash64("node"), F.lit(centres))] if centres > 1 else []
-        center = materialize(members.groupBy("bucket", *parts).agg(F.min("node").alias("center")).select("bucket", "center"), "centres")
-        pairs = members.join(center, "bucket").filter("node <> center")
-        d = materialize(_distances(pairs.select("node", "center").distinct(), vectors, 2 * reach + slack), "distances")
-        link = d.filter(F.col("d") <= reach + slack).select("node", "center")
-        links = link if links is None else links.unionByName(link)
-        near = materialize(pairs.join(d, ["node", "center"]), "near")
-        linked = near.filter(F.col("d") <= reach + slack).groupBy("bucket", "node").agg(F.min(F.struct("d", "center")).alias("best"))
-        done = linked.select("bucket", "node").unionByName(center.select("bucket", F.col("center").alias("node")))
-        open_ = materialize(members.join(done, ["bucket", "node"], "left_anti"), "open")
-        border = near.join(open_, ["bucket", "node"], "left_semi").groupBy("bucket", "center").agg(F.min("d").alias("nearest"))
-        still = (
-            linked.select("bucket", "node", F.col("best.center").alias("center"), F.col("best.d").alias("d"))
-            .join(border, ["bucket", "center"]).filter(F.col("d") >= F.col("nearest") - reach - slack).select("bucket", "node")
+    banded = _alive(nodes.select("node", "weight", "shared", F.explode("bands").alias("bucket")), threshold).withColumn("root", F.col("node"))
+    crowded = banded.join(_undecided(banded), "bucket")
+    # the more crowded its buckets, the more typical a node: a good centre, and the same one in many buckets
+    score = crowded.groupBy("node").agg(F.sum("n").alias("score"))
+    members = materialize(crowded.drop("n").join(score, "node"), "members")
+    vectors = nodes.select("node", "vector", "weight", "documents")
+    members, found = _first_round(members, vectors, threshold)
+    links, salts = found, 1
+    while True:
+        left = materialize(_alive(_rooted(members, links), threshold), "left")
+        left = materialize(left.join(_undecided(left), "bucket"), "undecided")
+        if not left.limit(1).count():
+            return links
+        links = links.unionByName(materialize(_small_buckets(left.filter(F.col("n") <= SMALL), vectors, threshold), "small"))
+        members = materialize(_rooted(left.filter(F.col("n") > SMALL).drop("n"), links), "large")
+        center = members.groupBy("bucket", "root", F.pmod(F.xxhash64("node"), F.lit(salts))).agg(F.max(F.struct("score", "node", "weight", "shared")).alias("c")).select(
+            "bucket", F.col("root").alias("center_root"), F.col("c.node").alias("center"), F.col("c.weight").alias("cw"), F.col("c.shared").alias("cs")
         )
-        left = open_.unionByName(still)
-        busy = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-        members = materialize(left.join(busy, "bucket", "left_semi"), "members")
-        centres *= 4
-    return links if links is not None else members.selectExpr("node", "node as center").limit(0)
+        # two texts have at most the lesser of their shared weights in common
+        possible = F.least("shared", "cs") * F.lit((1 + threshold) * (1 + slack)) >= F.lit(threshold) * (F.col("weight") + F.col("cw"))
+        pairs = members.join(center, "bucket").filter((F.col("root") != F.col("center_root")) & possible)
+        d = _distances(pairs.select("node", "center").distinct(), vectors, reach + slack)
+        links = links.unionByName(materialize(d.select("node", "center"), "found"))
+        # a centre has now met all its possible partners
+        members = members.join(center.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
+        salts *= 4
+
+
+def _first_round(members: DataFrame, vectors: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """One centre a bucket: the members that are left, and the links found."""
+    reach, slack = 1 - threshold, 1e-9
+    center = members.groupBy("bucket").agg(F.max(F.struct("score", "node", "weight")).alias("c")).select("bucket", F.col("c.node").alias("center"), F.col("c.weight").alias("cw"))
+    # a pair whose weights differ by more than this can't be near enough to matter
+    near_weight = F.least("weight", "cw") >= (1 - 2 * reach - slack) * F.greatest("weight", "cw")
+    pairs = members.join(center, "bucket").filter((F.col("node") != F.col("center")) & near_weight).select("bucket", "node", "center")
+    d = materialize(_distances(pairs.select("node", "center").distinct(), vectors, 2 * reach + slack), "distances")
+    near = materialize(pairs.join(d, ["node", "center"]), "near")
+    linked = near.filter(F.col("d") <= reach + slack)
+    done = linked.select("bucket", "node").unionByName(center.select("bucket", F.col("center").alias("node")))
+    open_ = members.select("bucket", "node").join(done, ["bucket", "node"], "left_anti")
+    border = near.join(open_, ["bucket", "node"], "left_semi").groupBy("bucket").agg(F.min("d").alias("nearest"))
+    still = linked.join(border, "bucket").filter(F.col("d") >= F.col("nearest") - reach - slack).select("bucket", "node")
+    left = members.join(open_.unionByName(still), ["bucket", "node"], "left_semi")
+    return left, d.filter(F.col("d") <= reach + slack).select("node", "center")
+
+
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members with the present component of each node as root."""
+    roots = connected_components(links, "node", "center")
+    return members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def linkable(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Nodes (with n, the number of their documents) that other nodes share threshold of their weight with,
+    and that weight as ``shared``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("vector", "documents", "n")), strict=True)
+            shared = np.array([_elsewhere(*r) for r in rows])
+            good = shared >= threshold * b.column(b.schema.get_field_index("weight")).to_numpy() * (1 - 1e-9)
+            yield b.append_column("shared", pa.array(shared)).filter(pa.array(good, pa.bool_()))
+
+    return nodes.filter("vector is not null").mapInArrow(run, nodes.schema.add("shared", "double"))
+
+
+def _elsewhere(vector: bytes, documents: int, copies: int) -> float:
+    """Weight of the shingles that more documents have than the copies of this one."""
+    _, tf, df = _vector(vector)
+    more = df > copies
+    return float((tf[more] * idf(df[more], documents)).sum())
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, words_in_shingle: int = 5, bands: int = 12, rows: int = 3) -> DataFrame:
     """One row a document: doc_id, class_id (the smallest doc_id of its class), class_size, kept (true
     for one row of each class, that of class_id)."""
-    table = materialize(sampled(docs, id_col, text_col, words_in_shingle, bands, rows).withColumn("row", F.monotonically_increasing_id()), "sampled")
+    table = materialize(sampled(docs, id_col, text_col, words_in_shingle, bands, rows, threshold).withColumn("row", F.monotonically_increasing_id()), "sampled")
     rank = F.struct(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("rank"), F.col("row"))
     first = table.groupBy("node").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-    nodes = materialize(table.join(first.select(F.col("first.row").alias("row")), "row", "left_semi"), "nodes")
+    alone = table.join(first.select(F.col("first.row").alias("row"), "n"), "row")
+    nodes = materialize(linkable(alone.select("node", "weight", "bands", "vector", "documents", "n"), threshold), "nodes")
     links = materialize(near_links(nodes, threshold), "links")
     roots = connected_components(links, "node", "center")  # node, root
     named = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
