@@ -1,9 +1,9 @@
 """Licence scans (operator 7), by DataFrame functions only.
 
 Units of a text are its lines, its blocks between blank lines, and the whole. A unit's sparse TF-IDF vector (words
-of ASCII letters and digits, lower-cased; idf over the templates, the largest idf for words in none)
-is compared with each template's by cosine. Before any word is counted, units go that lack all
-heavy terms of the templates: without those no cosine can reach the threshold, so nothing is lost.
+of ASCII letters and digits, lower-cased, without function words; idf over the templates, the largest idf for words in none)
+is compared with each template's by cosine. Before any word is counted, units go whose cosine can't reach the threshold:
+those that lack all heavy terms of the templates, and those with too many words that no template has. So nothing is lost.
 
 A file whose name says so, or whose whole text matches a template, is a licence file. A file without a match of its own
 inherits from the licence file in its directory or the nearest directory above; several in one give the best score, then the first name.
@@ -43,6 +43,8 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 ]
+# Function words of English, which don't count.
+COMMON = frozenset("a an and any are as at be by for from in is it may not of on or other that the this to use was with you".split())
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 WORD = "[a-z0-9]+"
 
@@ -51,25 +53,55 @@ class Templates:
     """TF-IDF vectors of unit length, the idf of known words and of others, and the heavy terms."""
 
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
-        bags = [Counter(re.findall(WORD, text.lower())) for _, text in templates]
+        bags = [Counter(w for w in re.findall(WORD, text.lower()) if w not in COMMON) for _, text in templates]
         n = len(bags)
         df = Counter(w for b in bags for w in b)
         self.idf = {w: math.log((1 + n) / (1 + c)) + 1 for w, c in df.items()}
         self.other = math.log(1 + n) + 1
-        self.vectors, heavy = [], set()
+        self.vectors = []
         for b in bags:
             v = {w: c * self.idf[w] for w, c in b.items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
-            v = {w: x / norm for w, x in v.items()}
-            self.vectors.append(v)
-            # by Cauchy-Schwarz a unit without these terms has a cosine of at most sqrt(left)
-            left = 1.0
-            for w, x in sorted(v.items(), key=lambda p: (-p[1], p[0])):
-                if left < threshold * threshold * 0.999:
-                    break
-                heavy.add(w)
-                left -= x * x
+            self.vectors.append({w: x / norm for w, x in v.items()})
+        # By Cauchy-Schwarz a unit without these terms has a cosine of at most sqrt(left) with any template. Any
+        # choice will do; these are few (they serve many templates), and long (few other texts have them)
+        left = [1.0] * n
+        need = threshold * threshold * 0.999
+        heavy: set[str] = set()
+        while open_ := [k for k in range(n) if left[k] >= need]:
+            gain = Counter()
+            for k in open_:
+                for w, x in self.vectors[k].items():
+                    if w not in heavy:
+                        gain[w] += x * x * (1.0 if len(w) >= 5 else 1e-6)
+            best = max(gain, key=lambda w: (gain[w], w))
+            heavy.add(best)
+            for k in range(n):
+                left[k] -= self.vectors[k].get(best, 0.0) ** 2
         self.heavy = sorted(heavy)
+        #: The most that one occurrence of a word can add to a dot product with any template.
+        self.gain = {w: i * max(v.get(w, 0.0) for v in self.vectors) for w, i in self.idf.items()}
+
+    def possible(self, words: Column, threshold: float) -> Column:
+        """Whether the cosine of a unit (its words, sorted) with some template can reach the threshold: the sum of gains, which no dot
+        product exceeds, is at least threshold times the unit's norm. One pass over the words, no shuffle."""
+        known = F.create_map(*[x for w, i in self.idf.items() for x in (F.lit(w), F.struct(F.lit(i).alias("idf"), F.lit(self.gain[w]).alias("gain")))])
+        ours = F.filter(words, lambda w: w.isin(*self.idf))
+        others = F.filter(words, lambda w: ~w.isin(*self.idf))
+        start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0.0).alias("square"), F.lit(0.0).alias("gain"))
+
+        def step(acc: Column, w: Column, idf: Column, gain: Column) -> Column:
+            # tf squared grows by 2 tf + 1 when a word comes once more
+            run = F.when(w == acc["word"], acc["run"] + 1).otherwise(F.lit(1))
+            return F.struct(w.alias("word"), run.alias("run"), (acc["square"] + (2 * run - 1) * idf * idf).alias("square"), (acc["gain"] + gain).alias("gain"))
+
+        a = F.aggregate(ours, start, lambda acc, w: step(acc, w, known[w]["idf"], known[w]["gain"]))
+        b = F.aggregate(others, start, lambda acc, w: step(acc, w, F.lit(self.other), F.lit(0.0)))
+        return a["gain"] >= F.lit(threshold * (1 - 1e-9)) * F.sqrt(a["square"] + b["square"])
+
+    def anchored(self, text: Column) -> Column:
+        """Whether a lower-case text has a heavy term."""
+        return F.arrays_overlap(F.split(text, "[^a-z0-9]+"), F.array(*[F.lit(w) for w in self.heavy]))
 
 
 def directory(path: Column) -> Column:
@@ -81,13 +113,18 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
     spark = files.sparkSession
     templates = TEMPLATES if templates is None else templates
     t = Templates(templates, threshold)
-    text = F.coalesce(files[text_col], F.lit(""))
-    anchor = r"(?i)(?<![a-z0-9])(?:" + "|".join(t.heavy) + r")(?![a-z0-9])"
-    units = F.filter(F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.array(text))), lambda u: u.rlike(anchor))
+    # a column of its own, used many times: Spark doesn't inline it, so each text is lower-cased once
+    low = files.select(
+        F.monotonically_increasing_id().alias("row"), files[id_col].cast("bigint").alias("doc_id"), path.alias("path"), F.lower(F.coalesce(files[text_col], F.lit(""))).alias("text")
+    )
+    text = F.col("text")
+    parts = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.array(text)))
+    split = F.transform(parts, lambda u: F.struct(u.alias("text"), F.sort_array(F.filter(F.split(u, "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(*COMMON))).alias("words")))
+    units = F.filter(split, lambda u: F.arrays_overlap(u["words"], F.array(*[F.lit(w) for w in t.heavy])) & t.possible(u["words"], threshold))
     scanned = materialize(
-        files.select(
-            F.monotonically_increasing_id().alias("row"), files[id_col].cast("bigint").alias("doc_id"), path.alias("path"),
-            F.when(text.rlike(anchor), F.transform(units, lambda u: F.struct(u.alias("text"), (u == text).alias("whole")))).alias("units"),
+        low.select(
+            "row", "doc_id", "path",
+            F.when(t.anchored(text), F.transform(units, lambda u: F.struct(u["words"].alias("words"), (u["text"] == text).alias("whole")))).alias("units"),
         ),
         "notices",
     )
@@ -95,7 +132,7 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
     idf = spark.createDataFrame(list(t.idf.items()), "word string, idf double")
     names = spark.createDataFrame([(k, n) for k, (n, _) in enumerate(templates)], "template int, license string")
     words = (
-        scanned.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.whole", F.explode(F.regexp_extract_all(F.lower("u.text"), F.lit(f"({WORD})"))).alias("word"))
+        scanned.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.whole", F.explode("u.words").alias("word"))
         .groupBy("row", "unit", "whole", "word").agg(F.count(F.lit(1)).alias("tf"))
         .join(F.broadcast(idf), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(t.other)))
     )  # fmt: skip  # the broadcast tables hold the templates' words only

@@ -5,16 +5,17 @@ from collections import Counter
 import duckdb
 from pyspark.sql import functions as F
 
-from galley.llm.licenses import TEMPLATES, license_scan
+from galley.llm.licenses import COMMON, TEMPLATES, license_scan
 
-BAGS = [(n, Counter(re.findall("[a-z0-9]+", t.lower()))) for n, t in TEMPLATES]
+bag = lambda t: Counter(w for w in re.findall("[a-z0-9]+", t.lower()) if w not in COMMON)
+BAGS = [(n, bag(t)) for n, t in TEMPLATES]
 DF = Counter(w for _, b in BAGS for w in b)
 IDF = lambda w: math.log((1 + len(BAGS)) / (1 + DF[w])) + 1 if DF[w] else math.log(1 + len(BAGS)) + 1
 
 
 def cosine(text):
     """The best (score, license) of one unit."""
-    a = Counter(re.findall("[a-z0-9]+", text.lower()))
+    a = bag(text)
     va = {w: c * IDF(w) for w, c in a.items()}
     na = math.sqrt(sum(x * x for x in va.values()))
     best = (0, None)
