@@ -12,6 +12,7 @@ The number of chunks and buckets follows spark.sql.shuffle.partitions.
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
@@ -50,6 +51,20 @@ class Chunk:
             self.data[self.offsets[i] : self.offsets[i + 1]] = data[starts[k] : starts[k] + sizes[i]]
 
 
+def trim() -> None:
+    """Give memory that a chunk or bucket used back to the system: a worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def trimmed(table: pa.Table) -> pa.Table:
+    trim()
+    return table
+
+
 def store(docs: DataFrame, id_col: str, text_col: str, chunks: int | None = None) -> DataFrame:
     """Documents packed by chunk, a hash of the id: one row for each chunk and input batch."""
     n = chunks or 2 * shuffle_partitions(docs.sparkSession)
@@ -104,7 +119,7 @@ def send(stored: DataFrame, emit: Callable[[int, Chunk], Iterable[tuple[int, byt
 
     def run(table: pa.Table) -> pa.Table:
         k = table["chunk"][0].as_py()
-        return blocks([(b, k, x) for b, x in emit(k, Chunk(table))], ("bucket", "chunk", "body"))
+        return trimmed(blocks([(b, k, x) for b, x in emit(k, Chunk(table))], ("bucket", "chunk", "body")))
 
     return stored.groupBy("chunk").applyInArrow(run, BLOCK)
 
@@ -116,7 +131,7 @@ def send_again(stored: DataFrame, answers: DataFrame, emit: Callable[[int, Chunk
         if not left.num_rows:
             return blocks([], ("bucket", "chunk", "body"))
         k = left["chunk"][0].as_py()
-        return blocks([(b, k, x) for b, x in emit(k, Chunk(left), by_bucket(right))], ("bucket", "chunk", "body"))
+        return trimmed(blocks([(b, k, x) for b, x in emit(k, Chunk(left), by_bucket(right))], ("bucket", "chunk", "body")))
 
     return stored.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, BLOCK)
 
@@ -133,7 +148,7 @@ def answer(sent: DataFrame, merge: Callable[[list[bytes]], list[bytes]]) -> Data
         bucket = table["bucket"][0].as_py()
         chunk, bodies = table["chunk"].to_pylist(), table["body"].to_pylist()
         out = bodies if bucket < 0 else merge(bodies)
-        return blocks([(k, max(bucket, -1), x) for k, x in zip(chunk, out, strict=True)], ("chunk", "bucket", "body"))
+        return trimmed(blocks([(k, max(bucket, -1), x) for k, x in zip(chunk, out, strict=True)], ("chunk", "bucket", "body")))
 
     return sent.groupBy("bucket").applyInArrow(run, ANSWER)
 
@@ -145,7 +160,7 @@ def note(chunk: int, body: bytes) -> tuple[int, bytes]:
 
 def finish(stored: DataFrame, answers: DataFrame, last: Callable[[Chunk, dict[int, bytes]], pa.Table], schema: str) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return last(Chunk(left), by_bucket(right))
+        return trimmed(last(Chunk(left), by_bucket(right)))
 
     return stored.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
