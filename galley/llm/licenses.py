@@ -1,10 +1,15 @@
 """Licence scans (operator 7), by DataFrame functions only.
 
-Units of a text are its lines, its blocks between blank lines, and the whole. A unit's sparse TF-IDF vector (words
+Units of a text are its lines, its blocks between blank lines or lines of comment marks only, and the whole. A unit's sparse TF-IDF vector (words
 of ASCII letters and digits, lower-cased, without function words; idf over the templates, the largest idf for words in none)
 is compared with each template's by cosine. Before any word is counted, units go whose cosine can't reach the threshold:
 those that lack all heavy terms of the templates, and those with too many words that no template has. So nothing is lost.
 
+A notice among other words (a header in a comment, a line of prose) is found by windows over the words of the whole text: from every word
+of a template as far as the template is long, and half as far again, cut back to the last word of the template.
+
+A weak template ("All rights reserved.") names the licence only of a file that no other template matches.
+
 A file whose name says so, or whose whole text matches a template, is a licence file. A file without a match of its own
 inherits from the licence file in its directory or the nearest directory above; several in one give the best score, then the first name.
 Directories, not files, are joined with licence directories, so a directory with a third of all files is one row there.
@@ -19,7 +24,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galley.llm.scratch import materialize
@@ -47,6 +52,13 @@ TEMPLATES = [
 COMMON = frozenset("a an and any are as at be by for from in is it may not of on or other that the this to use was with you".split())
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 WORD = "[a-z0-9]+"
+# Notices that stand beside those of other licences.
+WEAK = frozenset(["All rights reserved."])
+MARKS = r"[ \t\r/*#;%!\"'<>{}()|=+.-]*"
+# Words that open a comment line, and are no words of its text.
+OPENERS = r"(?m)^[ \t]*(?:dnl|rem)\b"
+# Places are counted in this part of a template's length, so one frame of fixed size serves templates of all lengths (up to 1,000 words).
+UNIT = 1 << 20
 
 
 class Templates:
@@ -58,7 +70,7 @@ class Templates:
         df = Counter(w for b in bags for w in b)
         self.idf = {w: math.log((1 + n) / (1 + c)) + 1 for w, c in df.items()}
         self.other = math.log(1 + n) + 1
-        self.vectors = []
+        self.vectors, self.sizes = [], [sum(b.values()) for b in bags]
         for b in bags:
             v = {w: c * self.idf[w] for w, c in b.items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
@@ -82,6 +94,18 @@ class Templates:
         #: The most that one occurrence of a word can add to a dot product with any template.
         self.gain = {w: i * max(v.get(w, 0.0) for v in self.vectors) for w, i in self.idf.items()}
 
+    def square(self, words: Column) -> Column:
+        """The squared norm of a unit (its words, sorted)."""
+        known = F.create_map(*[x for w, i in self.idf.items() for x in (F.lit(w), F.lit(i))])
+        start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0.0).alias("square"))
+
+        def step(acc: Column, w: Column) -> Column:
+            run = F.when(w == acc["word"], acc["run"] + 1).otherwise(F.lit(1))
+            idf = F.coalesce(known[w], F.lit(self.other))
+            return F.struct(w.alias("word"), run.alias("run"), (acc["square"] + (2 * run - 1) * idf * idf).alias("square"))
+
+        return F.aggregate(words, start, step)["square"]
+
     def possible(self, words: Column, threshold: float) -> Column:
         """Whether the cosine of a unit (its words, sorted) with some template can reach the threshold: the sum of gains, which no dot
         product exceeds, is at least threshold times the unit's norm. One pass over the words, no shuffle."""
@@ -108,6 +132,29 @@ def directory(path: Column) -> Column:
     return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), F.lit(""))
 
 
+def passages(scanned: DataFrame, t: Templates, threshold: float) -> DataFrame:
+    """row, template, score of the windows over the words (seq) of a text whose cosine reaches the threshold."""
+    spark = scanned.sparkSession
+    terms = spark.createDataFrame([(w, k, t.sizes[k], t.idf[w], x) for k, v in enumerate(t.vectors) for w, x in v.items()], "word string, template int, size int, idf double, weight double")
+    places = (
+        scanned.filter("seq is not null").select("row", F.posexplode("seq").alias("at", "word")).join(F.broadcast(terms), "word")
+        .withColumn("place", F.floor(F.col("at").cast("bigint") * F.lit(UNIT) / F.col("size")).cast("bigint"))
+    )
+    order = Window.partitionBy("row", "template").orderBy("place")
+    ends = []
+    for reach in (UNIT - 500, UNIT * 3 // 2):
+        frame = order.rangeBetween(0, reach)
+        ends.append(F.struct(F.max("at").over(frame).alias("last"), F.sum(F.col("idf") * F.col("weight")).over(frame).alias("dot"), F.sum(F.col("idf") * F.col("idf")).over(frame).alias("square")))
+    # The norm is at least that of the template's words, each once: a bound without the words between
+    found = (
+        places.select("row", "template", "at", F.array(*ends).alias("ends")).select("row", "template", "at", F.explode(F.array_distinct("ends")).alias("end"))
+        .filter(F.col("end.dot") >= F.lit(threshold * (1 - 1e-6)) * F.sqrt("end.square"))
+        .join(scanned.select("row", "seq"), "row")
+        .withColumn("words", F.sort_array(F.slice("seq", F.col("at") + 1, F.col("end.last") - F.col("at") + 1)))
+    )
+    return found.select("row", "template", F.round(F.col("end.dot") / F.sqrt(t.square(F.col("words"))), 6).alias("score")).filter(F.col("score") >= threshold)
+
+
 def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, threshold: float = 0.75) -> DataFrame:
     """One row a file: doc_id, path, license, score (cosine, 6 places), origin ('own', 'inherited' or null), license_dir."""
     spark = files.sparkSession
@@ -118,19 +165,21 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
         F.monotonically_increasing_id().alias("row"), files[id_col].cast("bigint").alias("doc_id"), path.alias("path"), F.lower(F.coalesce(files[text_col], F.lit(""))).alias("text")
     )
     text = F.col("text")
-    parts = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.array(text)))
+    parts = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.split(text, rf"\n{MARKS}\n"), F.array(text)))
     split = F.transform(parts, lambda u: F.struct(u.alias("text"), F.sort_array(F.filter(F.split(u, "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(*COMMON))).alias("words")))
     units = F.filter(split, lambda u: F.arrays_overlap(u["words"], F.array(*[F.lit(w) for w in t.heavy])) & t.possible(u["words"], threshold))
+    seq = F.filter(F.split(F.regexp_replace(text, OPENERS, " "), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(*COMMON))
     scanned = materialize(
         low.select(
             "row", "doc_id", "path",
             F.when(t.anchored(text), F.transform(units, lambda u: F.struct(u["words"].alias("words"), (u["text"] == text).alias("whole")))).alias("units"),
+            F.when(t.anchored(text), seq).alias("seq"),
         ),
         "notices",
     )
     terms = spark.createDataFrame([(w, k, x) for k, v in enumerate(t.vectors) for w, x in v.items()], "word string, template int, weight double")
     idf = spark.createDataFrame(list(t.idf.items()), "word string, idf double")
-    names = spark.createDataFrame([(k, n) for k, (n, _) in enumerate(templates)], "template int, license string")
+    names = spark.createDataFrame([(k, n, x in WEAK) for k, (n, x) in enumerate(templates)], "template int, license string, weak boolean")
     words = (
         scanned.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.whole", F.explode("u.words").alias("word"))
         .groupBy("row", "unit", "whole", "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -140,8 +189,9 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
     dot = words.join(F.broadcast(terms), "word").groupBy("row", "unit", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     matched = (
         dot.join(norm, ["row", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= threshold)
+        .select("row", "template", "score", "whole").unionByName(passages(scanned, t, threshold).withColumn("whole", F.lit(False)))
         .join(F.broadcast(names), "template")
-        .groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("best"), F.max("whole").alias("whole"))
+        .groupBy("row").agg(F.min(F.struct("weak", (-F.col("score")).alias("minus"), "license")).alias("best"), F.max("whole").alias("whole"))
         .select("row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"), "whole")
     )
     found = materialize(scanned.select("row", "doc_id", "path", directory(F.col("path")).alias("dir")).join(matched, "row", "left"), "matched")

@@ -71,3 +71,24 @@ def test_documents(spark):
     out = got(license_scan(df, F.concat_ws("/", df.source, df.lang, F.concat(df.doc_id.cast("string"), F.lit(".txt")))))
     lines = {d for d, _, t in rows if any(cosine(u)[0] >= 0.75 for u in t.split("\n"))}
     assert lines and lines == {r[0] for r in out if r[4] == "own"} and len(out) == len(rows)
+
+
+def scan(spark, texts):
+    df = spark.createDataFrame([(i, f"d{i}/x.c", t) for i, t in enumerate(texts)], "doc_id bigint, path string, text string")
+    return {r.doc_id: (r.license, r.score) for r in license_scan(df, df.path).collect()}
+
+
+def test_notices_among_other_words(spark):
+    gpl = "frob - a tool\nCopyright (C) 2024 A. Person\n\n" + TEMPLATES[9][1].replace(", ", ",\n") + "\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY.\n\nYou should have received a copy with it. If not, see the web."
+    bsd = "Copyright (c) 2024, Example. All rights reserved.\n\n" + TEMPLATES[13][1] + ":\n\n1. Redistributions of source code must retain the above notice.\nTHIS CODE IS PROVIDED AS IS."
+    marked = lambda t, m: "\n".join(m + x for x in t.split("\n"))
+    prose = "we took the parser from a friend " * 20
+    rows = [
+        ("/*\n" + marked(gpl, " * ") + "\n */\nint main() { return 0; }", "GPL-3.0"), (marked(gpl, "dnl "), "GPL-3.0"), (marked(bsd, "// "), "BSD-3-Clause"),
+        ("Copyright (c) 2024 Example Corporation. All rights reserved.", "proprietary"), ("Copyright 2020 A. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later\nimport os", "GPL-3.0"), (prose + "Released under the MIT License. " + prose, "MIT"),
+        (prose + "the license of the software is not known, and under any terms we may not use the source " + prose, None),
+    ]
+    out = scan(spark, [t for t, _ in rows])
+    assert [out[i][0] for i in range(len(rows))] == [n for _, n in rows]
+    assert out[0][1] == out[1][1] == out[2][1] == out[6][1] == 1
