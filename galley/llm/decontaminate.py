@@ -4,7 +4,8 @@
    scans, so what is broadcast is bounded however large the benchmark is.
 2. One scan counts the block's words over all documents. An n-gram is rare if the product of its
    words' rates is at most ``rare``: a rate, so corpus size doesn't matter, and a product of word rates, so a leak
-   that was copied often doesn't hide itself. An item without rare n-grams uses its rarest four.
+   that was copied often doesn't hide itself. A leak hot enough makes its own words frequent, so an item with four
+   n-grams in a row that aren't rare (or with fewer in all, none of them rare) uses all its n-grams.
 3. One scan finds seed hits in whole documents, joins hits on neighbouring diagonals to
    a passage, and aligns it with the item by words (A-Z lower-cased): match 2, mismatch -1, gap -1. The score over
    twice the item's words is 1 for a whole copy. Passages of at least ``threshold`` are returned.
@@ -44,14 +45,13 @@ class Items:
     def keep_rare(self, counts: np.ndarray, total: int, rare: float, least: int = 4) -> None:
         rate = np.log((counts + 0.5) / (total + 0.5 * (len(counts) + 1)))[np.searchsorted(self.vocabulary, self.words)]
         log_rate = sum(rate[self.at + k] for k in range(self.n)) if len(self.at) else np.zeros(0)
-        order = np.lexsort((log_rate, self.item))
-        rank = np.empty(len(order), np.int64)
-        start = np.searchsorted(self.item[order], self.item[order])
-        rank[order] = np.arange(len(order)) - start
         good = log_rate <= np.log(rare)
-        has = np.zeros(len(self.ids), bool)
-        has[self.item[good]] = True
-        keep = good | (~has[self.item] & (rank < least))
+        at, before = np.arange(len(good)), np.append(0, np.cumsum(good))
+        first, end = (np.searchsorted(self.item, self.item, side=s) for s in ("left", "right"))
+        stop = at + np.minimum(least, end - first)
+        bare = np.zeros(len(self.ids), bool)
+        bare[self.item[(stop <= end) & (before[np.minimum(stop, len(good))] == before[at])]] = True
+        keep = good | bare[self.item]
         order = np.argsort(self.gram[keep], kind="stable")
         self.gram, self.at, self.item = self.gram[keep][order], self.at[keep][order], self.item[keep][order]
 

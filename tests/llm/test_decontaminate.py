@@ -69,3 +69,22 @@ def test_documents_whole_copies(spark):
     want = duckdb.sql(f"select d.doc_id, b.item_id from '{p}documents.parquet' d join '{p}benchmark.parquet' b on contains(regexp_replace(d.text, '\\s+', ' ', 'g'), regexp_replace(b.text, '\\s+', ' ', 'g'))").fetchall()
     out = contaminated(spark.read.parquet(p + "documents.parquet"), spark.read.parquet(p + "benchmark.parquet")).collect()
     assert set(want) <= {(r.doc_id, r.item_id) for r in out} and len(want) > 5
+
+
+def test_hot_edited_leak(spark):
+    rng = random.Random(3)
+    items = [[f"leak{k}w{i}" for i in range(n)] for k, n in enumerate((20, 40))]
+    rows, edited = [], {}
+    for d in range(1800):
+        w = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(10, 41))]
+        if d % 3 < 2:  # each item in a third of all rows
+            copy = [x if rng.random() > 0.15 else "new" for x in items[d % 3]]
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = copy
+            edited[d] = copy
+        rows.append((d, " ".join(w)))
+    whole = lambda c: any("new" not in c[i : i + 4] for i in range(len(c) - 3))
+    want = {(d, d % 3) for d, c in edited.items() if brute(items[d % 3], c) >= len(c) and whole(c)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == want and len(want) > 1000
