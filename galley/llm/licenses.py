@@ -8,7 +8,9 @@ those that lack all heavy terms of the templates, and those with too many words
 A notice among other words (a header in a comment, a line of prose) is found by windows over the words of the whole text: from every word
 of a template as far as the template is long, and half as far again, cut back to the last word of the template.
 
-A weak template ("All rights reserved.") names the licence only of a file that no other template matches.
+One word is no notice: at least two different words are shared ("mit" is a word of German).
+
+A weak template ("All rights reserved.", or the sentence that BSD licences share) names the licence only of a file that no other template matches.
 
 A file whose name says so, or whose whole text matches a template, is a licence file. A file without a match of its own
 inherits from the licence file in its directory or the nearest directory above; several in one give the best score, then the first name.
@@ -48,12 +50,50 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 ]
+
+
+def _families() -> list[tuple[str, str]]:
+    """Notices of the usual families, each version apart: SPDX lines, short notices, titles and headers."""
+    spdx = "SPDX-License-Identifier: "
+    out = [("GPL-3.0", spdx + "GPL-3.0-or-later"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007")]
+    header = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    for name, kind, what, version, date in [
+        ("GPL-2.0", "General Public License", "program", "2", "June 1991"), ("LGPL-2.0", "Library General Public License", "library", "2", "June 1991"),
+        ("LGPL-2.1", "Lesser General Public License", "library", "2.1", "February 1999"), ("LGPL-3.0", "Lesser General Public License", "library", "3", "29 June 2007"),
+        ("AGPL-3.0", "Affero General Public License", "program", "3", "19 November 2007"),
+    ]:
+        out += [(name, f"{spdx}{name}-only"), (name, f"{spdx}{name}-or-later"), (name, f"GNU {kind} Version {version}, {date}"), (name, f"This work is licensed under the GNU {kind}, version {version}.")]
+        out.append((name, f"This {what} is free software; " + header.format(kind, version)))
+    out.append(("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."))
+    for kind, title in [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]:
+        for v in ("4.0", "3.0"):
+            name = f"CC-{kind}-{v}"
+            out += [(name, spdx + name), (name, f"Creative Commons {title} {v}")] + [(name, f"Licensed under CC {kind} {v}.")] * (name != "CC-BY-NC-4.0")
+    for name, title in [("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("CC0-1.0", "CC0 1.0 Universal License"), ("0BSD", "BSD Zero Clause License"), ("MPL-2.0", "Mozilla Public License, Version 2.0")]:
+        out += [(name, f"Licensed under the {title}.")] + [(name, spdx + name)] * (name != "BSD-3-Clause")
+    fee = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    as_is = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    return out + [
+        ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+        ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. " + as_is),
+        ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+        ("ISC", fee + ", provided that the above copyright notice and this permission notice appear in all copies."),
+        ("0BSD", fee + ". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+        ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+        ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+        ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+        ("Unlicense", "Released under the Unlicense."),
+        ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ]
+
+
+TEMPLATES += _families()
 # Function words of English, which don't count.
 COMMON = frozenset("a an and any are as at be by for from in is it may not of on or other that the this to use was with you".split())
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 WORD = "[a-z0-9]+"
-# Notices that stand beside those of other licences.
-WEAK = frozenset(["All rights reserved."])
+# Notices that stand beside those of other licences, or begin several, the weaker the higher.
+WEAK = {"Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met": 1, "All rights reserved.": 2}
 MARKS = r"[ \t\r/*#;%!\"'<>{}()|=+.-]*"
 # Words that open a comment line, and are no words of its text.
 OPENERS = r"(?m)^[ \t]*(?:dnl|rem)\b"
@@ -91,6 +131,15 @@ class Templates:
             for k in range(n):
                 left[k] -= self.vectors[k].get(best, 0.0) ** 2
         self.heavy = sorted(heavy)
+        # so many different words of a template a window needs at least, be they the heaviest
+        self.least = []
+        for v in self.vectors:
+            mass, k = 0.0, 0
+            for x in sorted(v.values(), reverse=True):
+                mass, k = mass + x * x, k + 1
+                if mass >= need:
+                    break
+            self.least.append(max(2, k))
         #: The most that one occurrence of a word can add to a dot product with any template.
         self.gain = {w: i * max(v.get(w, 0.0) for v in self.vectors) for w, i in self.idf.items()}
 
@@ -123,6 +172,11 @@ class Templates:
         b = F.aggregate(others, start, lambda acc, w: step(acc, w, F.lit(self.other), F.lit(0.0)))
         return a["gain"] >= F.lit(threshold * (1 - 1e-9)) * F.sqrt(a["square"] + b["square"])
 
+    def enough(self, words: Column) -> Column:
+        """Whether some template has the words (different ones, of templates) that a window of it needs at least."""
+        need = F.array(*[F.struct(F.array(*[F.lit(w) for w in v]).alias("words"), F.lit(k).alias("least")) for v, k in zip(self.vectors, self.least, strict=True)])
+        return (F.size(words) >= min(self.least)) & F.exists(need, lambda t: F.size(F.array_intersect(words, t["words"])) >= t["least"])
+
     def anchored(self, text: Column) -> Column:
         """Whether a lower-case text has a heavy term."""
         return F.arrays_overlap(F.split(text, "[^a-z0-9]+"), F.array(*[F.lit(w) for w in self.heavy]))
@@ -144,11 +198,11 @@ def passages(scanned: DataFrame, t: Templates, threshold: float) -> DataFrame:
     ends = []
     for reach in (UNIT - 500, UNIT * 3 // 2):
         frame = order.rangeBetween(0, reach)
-        ends.append(F.struct(F.max("at").over(frame).alias("last"), F.sum(F.col("idf") * F.col("weight")).over(frame).alias("dot"), F.sum(F.col("idf") * F.col("idf")).over(frame).alias("square")))
+        ends.append(F.struct(F.max("at").over(frame).alias("last"), F.sum(F.col("idf") * F.col("weight")).over(frame).alias("dot"), F.sum(F.col("idf") * F.col("idf")).over(frame).alias("square"), (F.min("word").over(frame) < F.max("word").over(frame)).alias("several")))
     # The norm is at least that of the template's words, each once: a bound without the words between
     found = (
         places.select("row", "template", "at", F.array(*ends).alias("ends")).select("row", "template", "at", F.explode(F.array_distinct("ends")).alias("end"))
-        .filter(F.col("end.dot") >= F.lit(threshold * (1 - 1e-6)) * F.sqrt("end.square"))
+        .filter("end.several").filter(F.col("end.dot") >= F.lit(threshold * (1 - 1e-6)) * F.sqrt("end.square"))
         .join(scanned.select("row", "seq"), "row")
         .withColumn("words", F.sort_array(F.slice("seq", F.col("at") + 1, F.col("end.last") - F.col("at") + 1)))
     )
@@ -165,6 +219,7 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
         F.monotonically_increasing_id().alias("row"), files[id_col].cast("bigint").alias("doc_id"), path.alias("path"), F.lower(F.coalesce(files[text_col], F.lit(""))).alias("text")
     )
     text = F.col("text")
+    low = low.withColumn("present", F.when(t.anchored(text), F.array_intersect(F.split(text, "[^a-z0-9]+"), F.array(*[F.lit(w) for w in t.idf]))))
     parts = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.split(text, rf"\n{MARKS}\n"), F.array(text)))
     split = F.transform(parts, lambda u: F.struct(u.alias("text"), F.sort_array(F.filter(F.split(u, "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(*COMMON))).alias("words")))
     units = F.filter(split, lambda u: F.arrays_overlap(u["words"], F.array(*[F.lit(w) for w in t.heavy])) & t.possible(u["words"], threshold))
@@ -173,20 +228,20 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
         low.select(
             "row", "doc_id", "path",
             F.when(t.anchored(text), F.transform(units, lambda u: F.struct(u["words"].alias("words"), (u["text"] == text).alias("whole")))).alias("units"),
-            F.when(t.anchored(text), seq).alias("seq"),
+            F.when(F.coalesce(t.enough(F.col("present")), F.lit(False)), seq).alias("seq"),
         ),
         "notices",
     )
     terms = spark.createDataFrame([(w, k, x) for k, v in enumerate(t.vectors) for w, x in v.items()], "word string, template int, weight double")
     idf = spark.createDataFrame(list(t.idf.items()), "word string, idf double")
-    names = spark.createDataFrame([(k, n, x in WEAK) for k, (n, x) in enumerate(templates)], "template int, license string, weak boolean")
+    names = spark.createDataFrame([(k, n, WEAK.get(x, 0)) for k, (n, x) in enumerate(templates)], "template int, license string, weak int")
     words = (
         scanned.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.whole", F.explode("u.words").alias("word"))
         .groupBy("row", "unit", "whole", "word").agg(F.count(F.lit(1)).alias("tf"))
         .join(F.broadcast(idf), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(t.other)))
     )  # fmt: skip  # the broadcast tables hold the templates' words only
     norm = words.groupBy("row", "unit", "whole").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = words.join(F.broadcast(terms), "word").groupBy("row", "unit", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    dot = words.join(F.broadcast(terms), "word").groupBy("row", "unit", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.count(F.lit(1)).alias("shared")).filter("shared > 1")
     matched = (
         dot.join(norm, ["row", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= threshold)
         .select("row", "template", "score", "whole").unionByName(passages(scanned, t, threshold).withColumn("whole", F.lit(False)))

@@ -92,3 +92,29 @@ def test_notices_among_other_words(spark):
     out = scan(spark, [t for t, _ in rows])
     assert [out[i][0] for i in range(len(rows))] == [n for _, n in rows]
     assert out[0][1] == out[1][1] == out[2][1] == out[6][1] == 1
+
+
+def test_families_are_told_apart(spark):
+    gnu = lambda kind, what, v: f"This {what} is free software: you can redistribute it and/or modify\n * it under the terms of the GNU {kind} as published by\n * the Free Software Foundation, either version {v} of the License, or\n * (at your option) any later version.\n"
+    bsd = "Copyright (c) 2024, Example.\nAll rights reserved.\n\n" + TEMPLATES[13][1] + ":\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+    third = "3. Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n"
+    as_is = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    fee = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"
+    rows = [
+        (gnu("General Public License", "program", "2"), "GPL-2.0"), (gnu("General Public License", "program", "3"), "GPL-3.0"), (gnu("Lesser General Public License", "library", "2.1"), "LGPL-2.1"),
+        (gnu("Lesser General Public License", "library", "3"), "LGPL-3.0"), (gnu("Affero General Public License", "program", "3"), "AGPL-3.0"),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n", "GPL-2.0"), ("GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007\n", "AGPL-3.0"),
+        (bsd + as_is, "BSD-2-Clause"), (bsd + third + as_is, "BSD-3-Clause"), (fee + ", provided that the above copyright notice and this permission notice appear in all copies.", "ISC"),
+        ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or non-commercial, and by any\nmeans.", "Unlicense"),
+        ("Creative Commons Attribution 4.0", "CC-BY-4.0"), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY 3.0.", "CC-BY-3.0"),
+        ("To the extent possible under law, A. Person has waived all copyright and related or neighboring rights to this work.", "CC0-1.0"),
+        ("Der Hund mit dem Ball", None), ("mit", None), ("SPDX-License-Identifier: EUPL-1.2", None), ("SPDX-License-Identifier: Artistic-2.0", None),
+    ]
+    rows += [(f"// SPDX-License-Identifier: {x}{y}\nint a;", x) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for y in ("-only", "-or-later")]
+    rows += [(f"// SPDX-License-Identifier: {x}\nint a;", x) for x in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense", "MPL-2.0")]
+    out = scan(spark, [t for t, _ in rows])
+    assert [(rows[i][0], out[i][0]) for i in range(len(rows))] == rows
+    # every notice of the table gives its own licence
+    out = scan(spark, ["/* " + t + " */ x = 1" for _, t in TEMPLATES])
+    assert [out[i][0] for i in range(len(TEMPLATES))] == [n for n, _ in TEMPLATES]
