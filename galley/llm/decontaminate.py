@@ -5,7 +5,8 @@
 2. One scan counts the block's words over all documents. An n-gram is rare if the product of its
    words' rates is at most ``rare``: a rate, so corpus size doesn't matter, and a product of word rates, so a leak
    that was copied often doesn't hide itself. A leak hot enough makes its own words frequent, so an item with four
-   n-grams in a row that aren't rare (or with fewer in all, none of them rare) uses all its n-grams.
+   n-grams in a row that aren't rare (or with fewer in all, none of them rare) uses all its n-grams. Two or three words
+   within n positions are seeds as well if the product of their rates is as small, so copies edited every few words are reached.
 3. One scan finds seed hits in whole documents, joins hits on neighbouring diagonals to
    a passage, and aligns it with the item by words (A-Z lower-cased): match 2, mismatch -1, gap -1. The score over
    twice the item's words is 1 for a whole copy. Passages of at least ``threshold`` are returned.
@@ -23,37 +24,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.words import Words, windows
+from galley.llm.words import Words, mix
 
 U = np.uint64
 MATCH, MISMATCH, GAP = 2, -1, -1
 TABLE_BITS = 20
+#: Places of the words of shorter seeds; a seed of n words comes first.
+SHORT = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1), (0, 2), (0, 3)]
+BASE = U(0x9E3779B97F4A7C15 | 1)
 SCHEMA = "doc_id bigint, item_id bigint, score double, start_word bigint, end_word bigint"
 
 
+def patterns(n: int) -> list[tuple[int, ...]]:
+    return [tuple(range(n)), *(p for p in SHORT if p[-1] < n and len(p) < n)]
+
+
+def grams(hashes: np.ndarray, pattern: tuple[int, ...]) -> np.ndarray:
+    """The hash of the words at the places of a pattern from each start, whether or not they lie in one document."""
+    m = max(0, len(hashes) - pattern[-1])
+    h = np.zeros(m, U)
+    for k in pattern:
+        h *= BASE
+        h += hashes[k : k + m]
+    return mix(h ^ U(sum(1 << k for k in pattern)))
+
+
+def room(first: np.ndarray) -> np.ndarray:
+    """How many words each document still has from each word on."""
+    return np.repeat(first[1:], np.diff(first)) - np.arange(first[-1] if len(first) else 0)
+
+
 class Items:
-    """A block of benchmark items: ids and hashed words, n-grams and their rates."""
+    """A block of benchmark items: ids and hashed words, seeds and their rates."""
 
     def __init__(self, ids: list, texts: list[str | None], n: int):
         words = Words.of(pa.array(texts, pa.string()), lower=True)
         self.ids, self.words, self.first = ids, words.hashes, words.first
-        self.gram, self.at = windows(words.hashes, words.first, n)
-        self.item = words.document()[self.at]
+        self.document, self.room = words.document(), room(words.first)
         self.vocabulary = np.unique(words.hashes)
         self.n = n
 
     def keep_rare(self, counts: np.ndarray, total: int, rare: float, least: int = 4) -> None:
         rate = np.log((counts + 0.5) / (total + 0.5 * (len(counts) + 1)))[np.searchsorted(self.vocabulary, self.words)]
-        log_rate = sum(rate[self.at + k] for k in range(self.n)) if len(self.at) else np.zeros(0)
-        good = log_rate <= np.log(rare)
-        at, before = np.arange(len(good)), np.append(0, np.cumsum(good))
-        first, end = (np.searchsorted(self.item, self.item, side=s) for s in ("left", "right"))
-        stop = at + np.minimum(least, end - first)
-        bare = np.zeros(len(self.ids), bool)
-        bare[self.item[(stop <= end) & (before[np.minimum(stop, len(good))] == before[at])]] = True
-        keep = good | bare[self.item]
-        order = np.argsort(self.gram[keep], kind="stable")
-        self.gram, self.at, self.item = self.gram[keep][order], self.at[keep][order], self.item[keep][order]
+        size = np.diff(self.first)[self.document]
+        found = []
+        for pattern in patterns(self.n):
+            start = np.flatnonzero((self.room > pattern[-1]) & (size >= self.n))
+            item = self.document[start]
+            good = sum((rate[start + k] for k in pattern), np.zeros(len(start))) <= np.log(rare)
+            if not found:
+                at, before = np.arange(len(good)), np.append(0, np.cumsum(good))
+                first, end = (np.searchsorted(item, item, side=s) for s in ("left", "right"))
+                stop = at + np.minimum(least, end - first)
+                bare = np.zeros(len(self.ids), bool)
+                bare[item[(stop <= end) & (before[np.minimum(stop, len(good))] == before[at])]] = True
+                good |= bare[item]
+            found.append((grams(self.words, pattern)[start[good]], start[good], item[good]))
+        gram, at, item = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(gram, kind="stable")
+        self.gram, self.at, self.item = gram[order], at[order], item[order]
+
+    def table(self) -> np.ndarray:
+        """A bitmap of the seeds' low bits, sparse however many there are."""
+        table = np.zeros(1 << max(TABLE_BITS, (8 * len(self.gram)).bit_length()), bool)
+        table[(self.gram & U(len(table) - 1)).astype(np.int64)] = True
+        return table
 
 
 def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,11 +139,16 @@ def align(items: np.ndarray, a0: np.ndarray, a1: np.ndarray, text: np.ndarray, b
 
 def find_passages(words: Words, items: Items, table: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
     """Document index, item index, score, first and last+1 word (in the document) of passages."""
-    gram, at = windows(words.hashes, words.first, items.n)
-    some = np.flatnonzero(table[(gram & U((1 << TABLE_BITS) - 1)).astype(np.int64)])
-    lo, hi = (np.searchsorted(items.gram, gram[some], side=s) for s in ("left", "right"))
+    left, hits = room(words.first), []
+    for pattern in patterns(items.n):
+        gram = grams(words.hashes, pattern)
+        some = np.flatnonzero(table[(gram & U(len(table) - 1)).astype(np.int64)])
+        some = some[left[some] > pattern[-1]]
+        hits.append((gram[some], some))
+    gram, some = (np.concatenate(x) for x in zip(*hits, strict=True))
+    lo, hi = (np.searchsorted(items.gram, gram, side=s) for s in ("left", "right"))
     count = hi - lo
-    where = np.repeat(at[some], count)
+    where = np.repeat(some, count)
     seed = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     item = items.item[seed]
     diagonal = where - (items.at[seed] - items.first[item])
@@ -157,8 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            table = np.zeros(1 << TABLE_BITS, bool)
-            table[(items.gram & U((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
+            table = items.table()
             item_ids = pa.array(items.ids, pa.int64())
             for b in batches:
                 doc, item, score, first, last = find_passages(Words.of(b.column(1), lower=True), items, table, threshold)
@@ -184,8 +223,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            table = np.zeros(1 << TABLE_BITS, bool)
-            table[(items.gram & U((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
+            table = items.table()
             for b in batches:
                 doc = find_passages(Words.of(b.column(at), lower=True), items, table, threshold)[0]
                 good = np.ones(b.num_rows, bool)

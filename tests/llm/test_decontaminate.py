@@ -88,3 +88,15 @@ def test_hot_edited_leak(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
     assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == want and len(want) > 1000
+
+
+def test_every_fourth_word_replaced(spark):
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(40000)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [text(40) for _ in range(5)]
+    rows = [(d, " ".join(text(60) + ["new" if i % 4 == 3 else x for i, x in enumerate(items[d % 5])] + text(60))) for d in range(20)]
+    rows += [(d, " ".join(text(2000))) for d in range(20, 120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(9, "w1 w2 w3")], "item_id bigint, text string")
+    assert sorted((r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()) == [(d, d % 5) for d in range(20)]
