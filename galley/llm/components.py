@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.scratch import materialize
+from galley.llm.scratch import drop, materialize
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -32,6 +32,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     )  # every edge points to its smaller end
     before = None
     while (now := _checksum(edges)) != before:
-        before = now
+        before, old = now, edges
         edges = materialize(_star(_star(edges, True), False), "edges")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        drop(old)
+    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = materialize(roots, "roots")
+    drop(edges)
+    return out

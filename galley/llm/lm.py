@@ -38,8 +38,8 @@ CUT = U(64 - BigramTrie.ID_BITS)
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_pairs_known bigint"
 
 
-def held_out(ids: np.ndarray, fold: int, folds: int) -> np.ndarray:
-    return np.array([zlib.crc32(b"" if x == C.NO_ID else str(x).encode()) % folds == fold for x in ids.tolist()], bool)
+def held_out(chunk: C.Chunk, fold: int, folds: int) -> np.ndarray:
+    return np.array([zlib.crc32(b"" if null else str(x).encode()) % folds == fold for x, null in zip(chunk.ids.tolist(), chunk.nulls.tolist(), strict=True)], bool)
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
@@ -117,12 +117,12 @@ def _unigram_answer(answers: dict[int, bytes]) -> tuple[int, int, np.ndarray]:
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5) -> DataFrame:
     """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_pairs_known.
     Documents with crc32(doc_id as text) mod folds equal to fold are held out; the rest train the model."""
-    bits = C.bits_of(docs)
-    stored = C.store(docs, id_col, text_col)
+    _, chunks, bits = C.layout(docs, text_col)
+    stored = C.store(docs, id_col, text_col, chunks)
 
     def emit_words(_, chunk: C.Chunk):
         tokens = Tokens(chunk)
-        train = (~held_out(chunk.ids, fold, folds)).astype(np.int64)
+        train = (~held_out(chunk, fold, folds)).astype(np.int64)
         # to every bucket, as each also tells its part of N and V
         for b, part in enumerate(CQF.build(tokens.hashes, 64, train[tokens.doc]).split(bits)):
             yield b, part.to_bytes()
@@ -139,7 +139,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tokens = Tokens(chunk)
         total, types, count = _unigram_answer(answers)
         pairs = Pairs(tokens, bits)
-        train = ~held_out(chunk.ids, fold, folds)
+        train = ~held_out(chunk, fold, folds)
         both = np.sort((pairs.pair << 1) | train[tokens.doc])
         start = np.flatnonzero(np.concatenate([[True], both[1:] >> 1 != both[:-1] >> 1])) if len(both) else np.zeros(0, np.int64)
         seen = np.add.reduceat(both & 1, start) if len(start) else start
@@ -212,8 +212,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sums = lambda x: np.bincount(tokens.doc, x, docs)
         return pa.table(
             [
-                pa.array(chunk.ids, mask=chunk.ids == C.NO_ID),
-                pa.array(held_out(chunk.ids, fold, folds)),
+                chunk.id_column(),
+                pa.array(held_out(chunk, fold, folds)),
                 pa.array(tokens.size.astype(np.int64)),
                 pa.array(sums(count[pairs.code] > 0).astype(np.int64)),
                 pa.array(np.full(docs, total, np.int64)),

@@ -1,26 +1,26 @@
 """MinHash near-dedup by improved consistent weighted sampling (operator 2).
 
-Weights are TF-IDF over shingles of five words (A-Z lower-cased): tf x (1 + IDF_SHARE ln(N/df)/ln(N)),
-with exact df over all documents. The idf part is kept small, as copies raise their own df: with a plain
-idf a text copied into a third of all rows would weigh less than each copy's few edits.
+Texts with the same words are one node. Weights are TF-IDF over shingles of five words (A-Z lower-cased) of the nodes:
+tf x (1 + IDF_SHARE ln(N/df)/ln(N)), N documents, df the exact number of nodes with the shingle. So exact copies don't
+lower their own weight. Edited copies do: with a plain idf the words of a text edited into a third of all rows would weigh less than
+each copy's few edits. README has recall and precision for other shares.
 
-Signatures: a shingle of one document alone can't be a sample that two documents share, so all such
-shingles of a document draw one sample by their total weight, which has the distribution of the
+Signatures: a shingle of one node alone can't be a sample that two nodes share, so all such
+shingles of a node draw one sample by their total weight, which has the distribution of the
 least of theirs. Every other shingle is drawn by improved consistent weighted sampling.
 
 J of two texts is at most the share of the weight that other texts have, too: texts for which that is below
 the threshold have no link, and drop out before sampling.
 
-Verification loses no link inside a bucket. The first round compares every member with the
-bucket's most typical one. 1 - J is a metric, so a member linked to it can have further links only with
-open members that lie within their two distances of it: it stays while there are such, otherwise it goes.
-Links are joined to classes by alternating large and small stars; members of one class are no longer
-compared, and a bucket of one class ends. What is left is small (one task compares it) or
-takes rounds in which one member of each class, then 4, 16, ..., meets all possible partners and goes.
+Verification loses no link inside a bucket. (1) Every member is compared with the bucket's centre, the member with the
+largest share of common weight. (2) A node's best linked centre, and that one's, name its root: nodes of one
+root are in one class already. (3) A bucket that has several roots left is dealt into blocks of bounded size. The members outside its
+most frequent root are queries; each block of them meets each block of the bucket once, as a matrix product, and links of different roots
+come back, at most one for each pair of roots and block. No pair becomes a row. Links are joined to classes by alternating large and small stars.
 
-Texts with the same words are one node from the start; texts of fewer than five words have no
-shingles, so only that joins them. Null counts as empty. A null doc_id is the last choice. Repeated rows are members like others. An empty
-table gives an empty result.
+Texts of fewer than five words have no shingles, so only equal words join them. Very long texts are one node each, in one chunk.
+Null counts as empty. A null doc_id is the last choice. Repeated rows are members like others; of equal doc_ids the first row stays. An empty
+table gives an empty result. Only the two named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -37,16 +37,17 @@ from galley.llm import chunks as C
 from galley.llm.components import connected_components
 from galley.llm.quotient import CountingQuotientFilter as CQF
 from galley.llm.quotient import pack_counts, pack_keys, unpack_counts, unpack_keys
-from galley.llm.scratch import materialize
+from galley.llm.scratch import drop, materialize
 from galley.llm.words import Words, mix, windows
 
 U = np.uint64
 KEY_BITS = 48
-#: Members of a bucket that one task compares at once; larger buckets take rounds over all tasks.
-SMALL = 256
+#: Members, and bytes of their vectors, in a block of a bucket.
+BLOCK, BLOCK_BYTES = 512, 1 << 20
 IDF_SHARE = 0.1
 _G1, _G2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
-SCHEMA = "doc_id bigint, node binary, weight double, bands array<bigint>, vector binary"
+_REACH = 1e-9
+SCHEMA = "doc_id bigint, node binary, first boolean, weight double, shared double, bands array<bigint>, vector binary"
 
 
 def shingle_pairs(chunk: C.Chunk, words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,31 +124,78 @@ def shared_weight(a: tuple, b: tuple, documents: int) -> float:
     return float((np.minimum(ta[both], tb[at[both]]) * idf(da[both], documents)).sum())
 
 
-def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, bands: int, rows: int, threshold: float) -> DataFrame:
-    """One row a document: node (hash of its words), total weight, band hashes and vector of the
-    shingles that more documents have. Bands and vector are null where those weigh less than threshold of the
-    total: J is at most that share, so the document has no link."""
-    bits = C.bits_of(docs)
-    stored = C.store(docs, id_col, text_col)
+def _digests(words: Words) -> np.ndarray:
+    """Two independent hashes over each document's words, which name its node."""
+    step = np.arange(len(words.hashes), dtype=U) - words.first[:-1].astype(U)[words.document()]
+    out = []
+    for salt in (_G1, _G2):
+        run = np.concatenate([np.zeros(1, U), np.cumsum(mix((words.hashes ^ salt) + mix(step * salt)))])
+        out.append(mix((run[words.first[1:]] - run[words.first[:-1]]) ^ words.counts.astype(U)))
+    return np.stack(out, 1)
 
-    def emit(_, chunk: C.Chunk):
-        key, _doc, _tf = shingle_pairs(chunk, Words(chunk.data, chunk.offsets, lower=True), words_in_shingle)
-        filter_ = CQF.build(key, KEY_BITS)
-        for b, part in enumerate(filter_.split(bits)):
-            if len(part.keys) or not b:  # bucket 0 also counts the documents
-                yield b, struct.pack("<Q", len(chunk.ids)) + part.to_bytes()
+
+def _only(words: Words, docs: np.ndarray) -> Words:
+    """The same documents, but only those chosen have words."""
+    out = object.__new__(Words)
+    at = docs[words.document()]
+    out.data, out.starts, out.ends, out.hashes = words.data, words.starts[at], words.ends[at], words.hashes[at]
+    out.first = np.concatenate([[0], np.cumsum(np.where(docs, words.counts, 0))])
+    return out
+
+
+def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int, bands: int, rows: int, threshold: float) -> tuple[DataFrame, int]:
+    """The number of documents, and one row for each: node (digest of its words), first (true for one document of each node). For that one: total weight, the
+    weight that other nodes have, too (shared), band hashes and vector of the shingles that other nodes have; bands and vector are null where
+    those weigh less than threshold of the total: J is at most that share, so the node has no link."""
+    size = C.layout(docs, text_col)
+    bits, documents = size.bits, size.rows
+    stored = C.store(docs, id_col, text_col, size.chunks)
+
+    def emit_nodes(_, chunk: C.Chunk):
+        own = np.unique(_digests(Words(chunk.data, chunk.offsets, lower=True)), axis=0)
+        edges = np.searchsorted(own[:, 0], np.arange(1, 1 << bits, dtype=U) << U(64 - bits))
+        for b, part in enumerate(np.split(own, edges)):
+            if len(part):
+                yield b, part.tobytes()
+
+    def merge_nodes(bodies: list[bytes]) -> list[bytes]:
+        """One bit a node: whether this chunk is the one that speaks for it. All nodes of a bucket come in the order of their chunks."""
+        parts = [np.frombuffer(x, U).reshape(-1, 2) for x in bodies]
+        _, first = np.unique(np.concatenate(parts), axis=0, return_index=True)
+        mine = np.zeros(sum(len(x) for x in parts), bool)
+        mine[first] = True
+        return [C.pack_bits(x) for x in np.split(mine, np.cumsum([len(x) for x in parts])[:-1])]
+
+    def speakers(digest: np.ndarray, bits_of_nodes: np.ndarray) -> np.ndarray:
+        """The chunk's documents that speak for their node. The bits are in the order of nodes, not of documents, so it doesn't matter
+        in which order equal documents come."""
+        _, first = np.unique(digest, axis=0, return_index=True)
+        out = np.zeros(len(digest), bool)
+        out[first[bits_of_nodes]] = True
+        return out
+
+    def emit(k: int, chunk: C.Chunk, answers: dict[int, bytes]):
+        words = Words(chunk.data, chunk.offsets, lower=True)
+        mine = C.read_bits(answers)
+        speaks = speakers(_digests(words), mine)
+        key, _doc, _tf = shingle_pairs(chunk, _only(words, speaks), words_in_shingle)
+        for b, part in enumerate(CQF.build(key, KEY_BITS).split(bits)):
+            if len(part.keys):
+                yield b, part.to_bytes()
+        yield C.note(k, C.pack_bits(mine))
 
     def merge(bodies: list[bytes]) -> list[bytes]:
-        n = sum(struct.unpack_from("<Q", x)[0] for x in bodies)
-        return [struct.pack("<QI", n, len(x)) + pack_counts(x) for x in CQF.totals([CQF.from_bytes(x[8:]) for x in bodies])]
+        return [struct.pack("<I", len(x)) + pack_counts(x) for x in CQF.totals([CQF.from_bytes(x) for x in bodies])]
 
     def last(chunk: C.Chunk, answers: dict[int, bytes]) -> pa.Table:
-        words = Words(chunk.data, chunk.offsets, lower=True)
+        whole = Words(chunk.data, chunk.offsets, lower=True)
+        nodes = _digests(whole)
+        speaks = speakers(nodes, C.unpack_bits(answers[-1]))
+        words = _only(whole, speaks)
         key, doc, tf = shingle_pairs(chunk, words, words_in_shingle)
-        documents = struct.unpack_from("<Q", answers[0])[0]
-        totals = np.concatenate([unpack_counts(answers[b], struct.unpack_from("<QI", answers[b])[1], 12)[0] for b in sorted(answers)])
+        totals = [unpack_counts(answers[b], struct.unpack_from("<I", answers[b])[0], 4)[0] for b in sorted(answers) if b >= 0]
         new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-        df = totals[np.cumsum(new) - 1]
+        df = (np.concatenate(totals) if totals else np.zeros(0, np.int64))[np.cumsum(new) - 1]
         order = np.argsort(doc.astype(np.uint16) if len(chunk.ids) <= 65536 else doc, kind="stable")
         key, doc, tf, df = key[order], doc[order], tf[order], df[order]
         weight = tf * idf(df, documents)
@@ -155,202 +203,197 @@ def sampled(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int,
         total = np.bincount(doc, weight, n)
         shared = df > 1
         private = np.bincount(doc[~shared], weight[~shared], n)
-        linkable = (total - private >= threshold * total * (1 - 1e-9)) & (total > 0)
+        linkable = (total - private >= threshold * total * (1 - _REACH)) & (total > 0)
         alive = shared & linkable[doc]
-        # two independent hashes over a document's words name its node
-        step = np.arange(len(words.hashes), dtype=U) - words.first[:-1].astype(U)[words.document()]
-        digest = []
-        for salt in (_G1, _G2):
-            run = np.concatenate([np.zeros(1, U), np.cumsum(mix((words.hashes ^ salt) + mix(step * salt)))])
-            digest.append(mix((run[words.first[1:]] - run[words.first[:-1]]) ^ words.counts.astype(U)))
-        sample = signatures(key[alive], weight[alive], doc[alive], private, digest[0], bands * rows)
+        key, doc, tf, df, weight = (x[alive] for x in (key, doc, tf, df, weight))
+        sample = signatures(key, weight, doc, private, nodes[:, 0], bands * rows)
         band = np.zeros((n, bands), U)
         for j in range(bands):
             h = np.full(n, j + 1, U)
             for k in range(j * rows, (j + 1) * rows):
                 h = mix(h * _G1 ^ sample[:, k])
             band[:, j] = h
-        edges = np.concatenate([[0], np.cumsum(np.bincount(doc[alive], minlength=n))]).tolist()
-        ks, ts, ds = key[alive], tf[alive], df[alive]
+        edges = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]).tolist()
+        vectors = [_pack_vector(key[a:b], tf[a:b], df[a:b]) if a < b else None for a, b in zip(edges[:-1], edges[1:], strict=True)]
         some = np.diff(edges) > 0
-        vectors = [_pack_vector(ks[a:b], ts[a:b], ds[a:b]) if a < b else None for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        nodes = np.stack(digest, 1)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(band.view(np.int64).ravel()))
+        at = np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * bands
+        lists = pa.ListArray.from_arrays(pa.array(at, mask=np.append(~some, False)), pa.array(band[some].view(np.int64).ravel()))
         return pa.table(
             [
-                pa.array(chunk.ids, mask=chunk.ids == C.NO_ID),
+                chunk.id_column(),
                 pa.array([x.tobytes() for x in nodes], pa.binary()),
+                pa.array(speaks),
                 pa.array(total),
-                pa.array([x if s else None for x, s in zip(lists.to_pylist(), some, strict=True)], pa.list_(pa.int64())) if not some.all() else lists,
+                pa.array(total - private),
+                lists,
                 pa.array(vectors, pa.binary()),
             ],
-            names=["doc_id", "node", "weight", "bands", "vector"],
-        ).append_column("documents", pa.array(np.full(n, documents, np.int64)))
+            names=["doc_id", "node", "first", "weight", "shared", "bands", "vector"],
+        )
 
-    return C.finish(stored, C.answer(C.send(stored, emit), merge), last, SCHEMA + ", documents bigint")
+    nodes = C.answer(C.send(stored, emit_nodes), merge_nodes)
+    return C.finish(stored, C.answer(C.send_again(stored, nodes, emit), merge), last, SCHEMA), documents
 
 
-def _distances(pairs: DataFrame, vectors: DataFrame, limit: float) -> DataFrame:
-    """node, center, d of the pairs with 1 - J of at most limit."""
+def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float, documents: int) -> DataFrame:
+    """node, center, trust of the pairs with a J of at least threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None  # rows come sorted by centre, so a centre is unpacked once
         for b in batches:
-            d = np.empty(b.num_rows)
+            near = np.empty(b.num_rows, bool)
             for at in range(0, b.num_rows, 256):
-                rows = zip(*(b.column(i).slice(at, 256).to_pylist() for i in range(1, 7)), strict=True)
-                for i, (center, va, wa, vb, wb, n) in enumerate(rows, at):
+                rows = zip(*(b.column(i).slice(at, 256).to_pylist() for i in (1, 3, 4, 5, 6)), strict=True)
+                for i, (center, va, wa, vb, wb) in enumerate(rows, at):
                     if center != last:
                         last, held = center, _vector(vb)
-                    common = shared_weight(_vector(va), held, n)
-                    d[i] = 1 - common / (wa + wb - common)
-            near = pa.array(d <= limit)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near), pa.array(d).filter(near)], names=["node", "center", "d"])
+                    common = shared_weight(_vector(va), held, documents)
+                    near[i] = common >= (threshold - _REACH) * (wa + wb - common)
+            yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(near)) for i in range(3)], names=["node", "center", "trust"])
 
     left = vectors.select("node", F.col("vector").alias("va"), F.col("weight").alias("wa"))
-    right = vectors.select(F.col("node").alias("center"), F.col("vector").alias("vb"), F.col("weight").alias("wb"), "documents")
-    return pairs.join(left, "node").join(right, "center").select("node", "center", "va", "wa", "vb", "wb", "documents").mapInArrow(run, "node binary, center binary, d double")
-
-
-def _undecided(members: DataFrame) -> DataFrame:
-    """(bucket, n) of the buckets whose members aren't all of one component yet."""
-    return members.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b").select("bucket", "n")
-
-
-def _alive(members: DataFrame, threshold: float) -> DataFrame:
-    """Members that can have a link in their bucket. Two texts have at most the lesser of their shared weights in
-    common, so J >= t asks of a partner a weight of at most (1 + t)/t times one's shared weight less one's own."""
-    least = members.groupBy("bucket").agg(F.min("weight").alias("least"))
-    room = F.lit((1 + threshold) / threshold * (1 + 1e-9)) * F.col("shared") - F.col("weight")
-    return members.join(least, "bucket").filter(F.col("least") <= room).drop("least")
+    right = vectors.select(F.col("node").alias("center"), F.col("vector").alias("vb"), F.col("weight").alias("wb"))
+    joined = pairs.join(left, "node").join(right, "center").select("node", "center", "trust", "va", "wa", "vb", "wb")
+    return joined.mapInArrow(run, "node binary, center binary, trust double")
+
+
+def _elements(vectors: list[tuple], documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vector, element, weight) of a block: a shingle that a text has k times is k elements, so that the least of two
+    frequencies is the size of an intersection."""
+    size = [len(v[0]) for v in vectors]
+    owner = np.repeat(np.arange(len(vectors)), size)
+    key, tf, df = (np.concatenate([v[i] for v in vectors]) for i in range(3))
+    at = np.repeat(np.arange(len(key)), tf)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf)
+    return owner[at], mix(key[at] * _G1 + copy.astype(U)), idf(df, documents)[at]
+
+
+def common_weights(vectors: list[tuple], a: np.ndarray, b: np.ndarray, documents: int) -> np.ndarray:
+    """The weight in common of each vector of a and each of b, by matrix products over slices of the elements."""
+    owner, element, weight = _elements(vectors, documents)
+    code, first, element = np.unique(element, return_index=True, return_inverse=True)
+    row = {}
+    for side, chosen in (("a", a), ("b", b)):
+        row[side] = np.full(len(vectors), -1)
+        row[side][chosen] = np.arange(len(chosen))
+    both = np.bincount(element[row["a"][owner] >= 0], minlength=len(code)).astype(bool) & np.bincount(element[row["b"][owner] >= 0], minlength=len(code)).astype(bool)
+    place = np.cumsum(both) - 1
+    out = np.zeros((len(a), len(b)))
+    width = 4096
+    use = both[element]
+    owner, element = owner[use], place[element[use]]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    value = weight[first[both]].astype(np.float32)
+    for lo in range(0, len(value), width):
+        s, e = np.searchsorted(element, [lo, lo + width])
+        m = {}
+        for side, n in (("a", len(a)), ("b", len(b))):
+            r = row[side][owner[s:e]]
+            m[side] = np.zeros((n, min(width, len(value) - lo)), np.float32)
+            m[side][r[r >= 0], element[s:e][r >= 0] - lo] = 1
+        out += (m["a"] * value[lo : lo + width]) @ m["b"].T
+    return out
 
 
-def _small_buckets(members: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """Links (node, center) that join the components inside buckets of at most SMALL members."""
+def _block_links(threshold: float, documents: int):
+    """Links (node, center) of different roots between the queries and the members of one block pair."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table[c].to_pylist() for c in ("node", "root", "weight", "vector", "documents", "shared")), strict=True), key=lambda r: r[2])
-        parent: dict[bytes, bytes] = {}
-
-        def find(x: bytes) -> bytes:
-            while parent.setdefault(x, x) != x:
-                x = parent[x]
-            return x
-
-        open_, out = [], []
-        for node, root, weight, vector, n, most in rows:  # by rising weight; J is at most the ratio of the weights
-            open_ = [o for o in open_ if o[2] >= threshold * weight * (1 - 1e-9)]
-            v = _vector(vector)
-            for other, r, w, u, least in open_:
-                if (1 + threshold) * (1 + 1e-9) * min(most, least) >= threshold * (w + weight) and find(r) != find(root):
-                    common = shared_weight(u, v, n)
-                    if common >= (threshold - 1e-9) * (w + weight - common):
-                        parent[find(r)] = find(root)
-                        out.append((node, other))
-            open_.append((node, root, weight, v, most))
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["node", "center"])
-
-    rows = members.select("bucket", "node", "root", "shared").join(vectors, "node")
-    return rows.groupBy("bucket").applyInArrow(run, "node binary, center binary")
-
-
-def near_links(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Verified links (node, center) between nodes (columns node, bands, vector, weight, documents), enough
-    for the components that all links inside buckets would give.
-
-    Members of one component needn't be compared any more, and a bucket ends when it has one component. After the first
-    round, buckets of at most SMALL members end in one task each; larger ones take more rounds."""
-    reach, slack = 1 - threshold, 1e-9
-    banded = _alive(nodes.select("node", "weight", "shared", F.explode("bands").alias("bucket")), threshold).withColumn("root", F.col("node"))
-    crowded = banded.join(_undecided(banded), "bucket")
-    # the more crowded its buckets, the more typical a node: a good centre, and the same one in many buckets
-    score = crowded.groupBy("node").agg(F.sum("n").alias("score"))
-    members = materialize(crowded.drop("n").join(score, "node"), "members")
-    vectors = nodes.select("node", "vector", "weight", "documents")
-    members, found = _first_round(members, vectors, threshold)
-    links, salts = found, 1
-    while True:
-        left = materialize(_alive(_rooted(members, links), threshold), "left")
-        left = materialize(left.join(_undecided(left), "bucket"), "undecided")
-        if not left.limit(1).count():
-            return links
-        links = links.unionByName(materialize(_small_buckets(left.filter(F.col("n") <= SMALL), vectors, threshold), "small"))
-        members = materialize(_rooted(left.filter(F.col("n") > SMALL).drop("n"), links), "large")
-        center = members.groupBy("bucket", "root", F.pmod(F.xxhash64("node"), F.lit(salts))).agg(F.max(F.struct("score", "node", "weight", "shared")).alias("c")).select(
-            "bucket", F.col("root").alias("center_root"), F.col("c.node").alias("center"), F.col("c.weight").alias("cw"), F.col("c.shared").alias("cs")
-        )
-        # two texts have at most the lesser of their shared weights in common
-        possible = F.least("shared", "cs") * F.lit((1 + threshold) * (1 + slack)) >= F.lit(threshold) * (F.col("weight") + F.col("cw"))
-        pairs = members.join(center, "bucket").filter((F.col("root") != F.col("center_root")) & possible)
-        d = _distances(pairs.select("node", "center").distinct(), vectors, reach + slack)
-        links = links.unionByName(materialize(d.select("node", "center"), "found"))
-        # a centre has now met all its possible partners
-        members = members.join(center.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
-        salts *= 4
-
-
-def _first_round(members: DataFrame, vectors: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """One centre a bucket: the members that are left, and the links found."""
-    reach, slack = 1 - threshold, 1e-9
-    center = members.groupBy("bucket").agg(F.max(F.struct("score", "node", "weight")).alias("c")).select("bucket", F.col("c.node").alias("center"), F.col("c.weight").alias("cw"))
-    # a pair whose weights differ by more than this can't be near enough to matter
-    near_weight = F.least("weight", "cw") >= (1 - 2 * reach - slack) * F.greatest("weight", "cw")
-    pairs = members.join(center, "bucket").filter((F.col("node") != F.col("center")) & near_weight).select("bucket", "node", "center")
-    d = materialize(_distances(pairs.select("node", "center").distinct(), vectors, 2 * reach + slack), "distances")
-    near = materialize(pairs.join(d, ["node", "center"]), "near")
-    linked = near.filter(F.col("d") <= reach + slack)
-    done = linked.select("bucket", "node").unionByName(center.select("bucket", F.col("center").alias("node")))
-    open_ = members.select("bucket", "node").join(done, ["bucket", "node"], "left_anti")
-    border = near.join(open_, ["bucket", "node"], "left_semi").groupBy("bucket").agg(F.min("d").alias("nearest"))
-    still = linked.join(border, "bucket").filter(F.col("d") >= F.col("nearest") - reach - slack).select("bucket", "node")
-    left = members.join(open_.unionByName(still), ["bucket", "node"], "left_semi")
-    return left, d.filter(F.col("d") <= reach + slack).select("node", "center")
-
-
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
-    """members with the present component of each node as root."""
-    roots = connected_components(links, "node", "center")
-    return members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def linkable(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Nodes (with n, the number of their documents) that other nodes share threshold of their weight with,
-    and that weight as ``shared``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("vector", "documents", "n")), strict=True)
-            shared = np.array([_elsewhere(*r) for r in rows])
-            good = shared >= threshold * b.column(b.schema.get_field_index("weight")).to_numpy() * (1 - 1e-9)
-            yield b.append_column("shared", pa.array(shared)).filter(pa.array(good, pa.bool_()))
-
-    return nodes.filter("vector is not null").mapInArrow(run, nodes.schema.add("shared", "double"))
-
-
-def _elsewhere(vector: bytes, documents: int, copies: int) -> float:
-    """Weight of the shingles that more documents have than the copies of this one."""
-    _, tf, df = _vector(vector)
-    more = df > copies
-    return float((tf[more] * idf(df[more], documents)).sum())
+        column = lambda c: table[c].to_numpy()
+        query, base, weight, shared = column("query"), column("base"), column("weight"), column("shared")
+        node, root = table["node"].to_pylist(), table["root"].to_pylist()
+        code = {r: i for i, r in enumerate(dict.fromkeys(root))}
+        root = np.array([code[r] for r in root], np.int64)
+        a, b = np.flatnonzero(query), np.flatnonzero(base)
+        out = []
+        if len(a) and len(b):
+            w = weight[a][:, None] + weight[b]
+            # J is at most the ratio of the weights, and two texts have at most the lesser of their shared weights in common
+            possible = (root[a][:, None] != root[b]) & (np.minimum(weight[a][:, None], weight[b]) >= threshold * (1 - _REACH) * np.maximum(weight[a][:, None], weight[b]))
+            possible &= (1 + threshold) * (1 + _REACH) * np.minimum(shared[a][:, None], shared[b]) >= threshold * w
+            ra, rb = possible.any(1), possible.any(0)
+            a, b, w, possible = a[ra], b[rb], w[np.ix_(ra, rb)], possible[np.ix_(ra, rb)]
+        if len(a) and len(b):
+            chosen, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            vectors = [_vector(table["vector"][int(i)].as_py()) for i in chosen]
+            common = common_weights(vectors, place[: len(a)], place[len(a) :], documents)
+            j = common / (w - common)
+            near = possible & (j >= threshold + 1e-4)
+            for i, k in np.argwhere(possible & ~near & (j >= threshold - 1e-4)):  # single precision doesn't tell
+                exact = shared_weight(vectors[place[i]], vectors[place[len(a) + k]], documents)
+                near[i, k] = exact >= (threshold - _REACH) * (w[i, k] - exact)
+            parent = np.arange(len(code))
+
+            def find(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for i in np.flatnonzero(near.any(1)):
+                found = b[near[i]]
+                for r, at in zip(*np.unique(root[found], return_index=True), strict=True):
+                    x, y = find(root[a[i]]), find(r)
+                    if x != y:
+                        parent[x] = y
+                        out.append((node[a[i]], node[found[at]]))
+        u, v = zip(*out, strict=True) if out else ((), ())
+        return C.trimmed(pa.table([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["node", "center"]))
+
+    return run
+
+
+def near_links(nodes: DataFrame, threshold: float, documents: int) -> DataFrame:
+    """Verified links (node, center) between nodes (columns node, bands, vector, weight, shared): as many as give the
+    components that all links inside buckets would give."""
+    vectors = nodes.select("node", "vector", "weight")
+    trust = F.col("shared") / F.col("weight")
+    banded = nodes.select("node", "weight", "shared", F.octet_length("vector").alias("size"), F.explode("bands").alias("bucket"))
+    buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("least"), F.max(F.struct(trust.alias("trust"), "node", "weight", "shared")).alias("c")).filter("n > 1")
+    # J >= t asks of a partner a weight of at most (1 + t)/t times one's shared weight less one's own
+    room = F.lit((1 + threshold) / threshold * (1 + _REACH)) * F.col("shared") - F.col("weight")
+    members = materialize(banded.join(buckets, "bucket").filter(room >= F.col("least")).select("bucket", "n", "node", "weight", "shared", "size", "c"), "members")
+
+    others = members.filter("node <> c.node")
+    w, cw = F.col("weight"), F.col("c.weight")
+    possible = (F.least(w, cw) >= F.lit(threshold * (1 - _REACH)) * F.greatest(w, cw)) & (F.least("shared", "c.shared") * F.lit((1 + threshold) * (1 + _REACH)) >= F.lit(threshold) * (w + cw))
+    pairs = others.filter(possible).select("node", F.col("c.node").alias("center"), F.col("c.trust").alias("trust")).distinct()
+    first = materialize(_verified(pairs, vectors, threshold, documents), "first")
+
+    up = first.groupBy("node").agg(F.max(F.struct("trust", "center")).alias("up")).select("node", F.col("up.center").alias("up"))
+    top = materialize(up.join(up.select(F.col("node").alias("up"), F.col("up").alias("top")), "up", "left").select("node", F.coalesce("top", "up").alias("top")), "top")
+    rooted = others.filter("n > 2").drop("c", "n").join(top, "node", "left").withColumn("root", F.coalesce("top", "node")).drop("top")
+    of_root = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    open_ = of_root.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root", "bytes")).alias("main")).filter("n > main.n")
+    parts = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    open_ = open_.select(
+        "bucket", F.col("main.root").alias("main"), parts(F.col("n"), F.col("bytes")).alias("blocks"), parts(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("queries")
+    )
+    here = rooted.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("asks", F.when(F.col("root") != F.col("main"), F.pmod(F.xxhash64("node", F.lit(1)), "queries").cast("int")))
+    as_base = F.transform(F.sequence(F.lit(0), F.col("queries") - 1), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
+    as_query = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block")), lambda j: F.struct(F.col("asks").alias("i"), j.alias("j")))
+    dealt = here.withColumn("at", F.explode(F.when(F.col("asks").isNull(), as_base).otherwise(F.concat(as_base, as_query))))
+    dealt = dealt.select("bucket", "at.i", "at.j", "node", "root", "shared", F.coalesce(F.col("asks") == F.col("at.i"), F.lit(False)).alias("query"), (F.col("block") == F.col("at.j")).alias("base"))
+    second = materialize(dealt.join(vectors, "node").groupBy("bucket", "i", "j").applyInArrow(_block_links(threshold, documents), "node binary, center binary"), "second")
+    links = materialize(first.select("node", "center").unionByName(second).distinct(), "links")
+    drop(members, first, top, second)
+    return links
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, words_in_shingle: int = 5, bands: int = 12, rows: int = 3) -> DataFrame:
     """One row a document: doc_id, class_id (the smallest doc_id of its class), class_size, kept (true
     for one row of each class, that of class_id)."""
-    table = materialize(sampled(docs, id_col, text_col, words_in_shingle, bands, rows, threshold).withColumn("row", F.monotonically_increasing_id()), "sampled")
-    rank = F.struct(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("rank"), F.col("row"))
-    first = table.groupBy("node").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-    alone = table.join(first.select(F.col("first.row").alias("row"), "n"), "row")
-    nodes = materialize(linkable(alone.select("node", "weight", "bands", "vector", "documents", "n"), threshold), "nodes")
-    links = materialize(near_links(nodes, threshold), "links")
+    found, documents = sampled(docs, id_col, text_col, words_in_shingle, bands, rows, threshold)
+    table = materialize(found.withColumn("row", F.monotonically_increasing_id()), "sampled")
+    links = near_links(table.filter("vector is not null").select("node", "bands", "vector", "weight", "shared"), threshold, documents)
     roots = connected_components(links, "node", "center")  # node, root
+    rank = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id"), F.col("row"))
+    first = table.groupBy("node").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     named = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = named.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("class_size"))
     by_node = materialize(named.select("node", "root").join(classes, "root").select("node", "first", "class_size"), "classes")
+    drop(links, roots)
     return table.select("doc_id", "row", "node").join(by_node, "node").select(
-        "doc_id",
-        F.when(F.col("first.rank") < C.NO_ID, F.col("first.rank")).alias("class_id"),
-        "class_size",
-        (F.col("row") == F.col("first.row")).alias("kept"),
+        "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept")
     )

@@ -1,7 +1,8 @@
 """Tables written to the folder that all executors share, in place of long lineages.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-(tests, notebooks) a temporary one is made. Tables go when the Python process ends.
+The folder is the one the cluster names in ``spark.checkpoint.dir``. Where that is unset, a session whose master is
+local (tests, notebooks) gets a temporary one; on a cluster that is an error, as executors couldn't see it.
+Tables go when they are dropped, or when the Python process ends.
 """
 
 from __future__ import annotations
@@ -22,17 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
     if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="galley-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _drop_all() -> None:
     for spark, path in _made:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session may have ended first
             pass
 
@@ -50,5 +56,13 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that nothing lazy reads any more."""
+    for df in tables:
+        for entry in [e for e in _made if any(e[1] in f for f in df.inputFiles()[:1])]:
+            _made.remove(entry)
+            _delete(*entry)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

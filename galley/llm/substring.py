@@ -3,11 +3,12 @@
 Lengths double from a seed up to ``min_words`` (7 and 13 for 13). Only windows whose both halves
 are repeated at one length are looked at on the next, so the full-width exchange carries a small
 part of all windows. The seed level sends 48-bit fingerprints with counts; being a filter, its
-rare collisions only let a few more windows through. The last level sends 64-bit fingerprints
+rare collisions only let a few more windows through. The last level sends 128 bits of each window (two independent hashes)
 with the smallest doc_id of the chunk and gets back one bit each: whether a smaller doc_id has it.
 
 Removal covers words, judged on the input. A null doc_id counts as larger than all others. Rows that repeat a doc_id never
-remove each other's words (no doc_id among them is smaller). Null and empty texts have no words.
+remove each other's words (no doc_id among them is smaller). Null and empty texts have no words; texts below min_words lose none.
+A very long text is looked at whole, in one chunk. Only the two named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -44,6 +45,16 @@ def _distinct_documents(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.
     return hs[start], 1 + many.astype(np.int64)
 
 
+def _runs(h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by both hashes, and the places in it where a new pair of them begins."""
+    order = np.argsort(h, kind="stable")
+    a, b = h[order], h2[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((h2, h))
+        a, b = h[order], h2[order]
+    return order, np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(h) else np.zeros(0, np.int64)
+
+
 def _split(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(keys, np.arange(1, 1 << bits, dtype=U) << U(64 - bits))
 
@@ -51,28 +62,30 @@ def _split(keys: np.ndarray, bits: int) -> np.ndarray:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, with_text: bool = True) -> DataFrame:
     """One row a document: words in all, words and spans removed, the kept text (words joined by
     one space; null without with_text) and its SHA-256. An empty table gives an empty result."""
-    bits = C.bits_of(docs)
-    stored = C.store(docs, id_col, text_col)
+    _, chunks, bits = C.layout(docs, text_col)
+    stored = C.store(docs, id_col, text_col, chunks)
     seed, size = levels(min_words)[0], min_words
     shift = U(64 - FILTER_BITS)
 
-    def survivors(words: Words, doc: np.ndarray, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and positions of the full windows both of whose seed windows are repeated."""
+    def survivors(words: Words, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both hashes and the positions of the full windows both of whose seed windows are repeated."""
+        full, second, at = windows(words.hashes, words.first, size, second=True)
         if seed == size:
-            return windows(words.hashes, words.first, size)
+            return full, second, at
         repeated = C.read_bits(answers)
-        h, at = windows(words.hashes, words.first, seed)
+        h, seeds = windows(words.hashes, words.first, seed)
         keys = np.unique(h >> shift)
         good = np.zeros(len(words.starts) + size, bool)
-        good[at] = repeated[np.searchsorted(keys, h >> shift)]
-        full, at = windows(words.hashes, words.first, size)
+        good[seeds] = repeated[np.searchsorted(keys, h >> shift)]
         alive = good[at] & good[at + size - seed]
-        return full[alive], at[alive]
+        return full[alive], second[alive], at[alive]
 
     def emit_seed(_, chunk: C.Chunk):
         words = Words(chunk.data, chunk.offsets)
         h, at = windows(words.hashes, words.first, seed)
-        keys, counts = _distinct_documents(h >> shift, chunk.ids[words.document()[at]])
+        # rows of one doc_id count as one document; null ones are apart, as they have none
+        same = np.concatenate([[False], (chunk.ids[1:] == chunk.ids[:-1]) & ~chunk.nulls[1:] & ~chunk.nulls[:-1]])
+        keys, counts = _distinct_documents(h >> shift, np.cumsum(~same[: len(chunk.ids)])[words.document()[at]])
         for b, part in enumerate(CQF(keys, counts, FILTER_BITS).split(bits)):
             if len(part.keys):
                 yield b, part.to_bytes()
@@ -84,44 +97,52 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def emit_full(k: int, chunk: C.Chunk, answers: dict[int, bytes]):
         words = Words(chunk.data, chunk.offsets)
         doc = words.document()
-        h, at = survivors(words, doc, answers)
-        keys, first = np.unique(h, return_index=True)  # the first is of the smallest doc_id: chunks are sorted
-        owner = chunk.ids[doc[at[first]]]
+        h, h2, at = survivors(words, answers)
+        order, new = _runs(h, h2)  # stable: the first of a run is of the smallest doc_id, as chunks are sorted
+        first = order[new]
+        keys, second, owner = h[first], h2[first], doc[at[first]]
         edges = _split(keys, bits)
         mask = U((1 << (64 - bits)) - 1)
-        for b, (part, ids) in enumerate(zip(np.split(keys, edges), np.split(owner, edges), strict=True)):
+        for b, (part, other, of) in enumerate(zip(*(np.split(x, edges) for x in (keys, second, owner)), strict=True)):
             if len(part):
-                table, code = np.unique(ids, return_inverse=True)
-                wide = 2 if len(table) < 65536 else 4
-                yield b, struct.pack("<IIB", len(table), len(part), wide) + table.tobytes() + code.astype(f"<u{wide}").tobytes() + pack_keys(part & mask, 64 - bits)
+                docs_, code = np.unique(of, return_inverse=True)
+                wide = 2 if len(docs_) < 65536 else 4
+                yield (
+                    b,
+                    struct.pack("<IIB", len(docs_), len(part), wide) + chunk.ids[docs_].tobytes() + chunk.nulls[docs_].tobytes()
+                    + code.astype(f"<u{wide}").tobytes() + other.tobytes() + pack_keys(part & mask, 64 - bits),
+                )
         if seed != size:
             yield C.note(k, C.pack_bits(C.read_bits(answers)))
 
     def merge_full(bodies: list[bytes]) -> list[bytes]:
-        keys, ids = [], []
+        parts = []
         for x in bodies:
             n, m, wide = struct.unpack_from("<IIB", x)
-            table = np.frombuffer(x, np.int64, n, 9)
-            code = np.frombuffer(x, f"<u{wide}", m, 9 + 8 * n)
-            keys.append(unpack_keys(x, 9 + 8 * n + wide * m)[0])
-            ids.append(table[code])
-        k, d = np.concatenate(keys), np.concatenate(ids)
-        order = np.argsort(k, kind="stable")
-        ks = k[order]
-        start = np.flatnonzero(np.concatenate([[True], ks[1:] != ks[:-1]]))
-        least = np.repeat(np.minimum.reduceat(d[order], start), np.diff(np.append(start, len(ks))))
+            at = 9 + 9 * n
+            code = np.frombuffer(x, f"<u{wide}", m, at)
+            at += wide * m
+            parts.append((unpack_keys(x, at + 8 * m)[0], np.frombuffer(x, U, m, at), np.frombuffer(x, np.int64, n, 9)[code], np.frombuffer(x, bool, n, 9 + 8 * n)[code]))
+        k, k2, ids, null = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, new = _runs(k, k2)
+        runs = np.diff(np.append(new, len(k)))
+        least = np.minimum.reduceat(np.where(null, np.iinfo(np.int64).max, ids)[order], new)
+        some = np.logical_or.reduceat(~null[order], new)
         smaller = np.empty(len(k), bool)
-        smaller[order] = least < d[order]
-        return [C.pack_bits(x) for x in np.split(smaller, np.cumsum([len(x) for x in keys])[:-1])]
+        smaller[order] = np.repeat(some, runs) & (null[order] | (np.repeat(least, runs) < ids[order]))
+        return [C.pack_bits(x) for x in np.split(smaller, np.cumsum([len(x[0]) for x in parts])[:-1])]
 
     def last(chunk: C.Chunk, answers: dict[int, bytes]) -> pa.Table:
         words = Words(chunk.data, chunk.offsets)
         doc = words.document()
-        h, at = survivors(words, doc, {0: answers[-1]} if -1 in answers else {})
-        keys, first, code = np.unique(h, return_index=True, return_inverse=True)
-        bit = C.read_bits(answers)
-        ids = chunk.ids[doc[at]]
-        gone = (bit[code] if len(keys) else np.zeros(0, bool)) | (ids > ids[first][code] if len(keys) else np.zeros(0, bool))
+        h, h2, at = survivors(words, {0: answers[-1]} if -1 in answers else {})
+        order, new = _runs(h, h2)
+        gone = np.zeros(len(h), bool)
+        if len(h):
+            runs = np.diff(np.append(new, len(h)))
+            of, owner = doc[at[order]], np.repeat(doc[at[order[new]]], runs)
+            here = ~chunk.nulls[owner] & (chunk.nulls[of] | (chunk.ids[owner] < chunk.ids[of]))
+            gone[order] = here | np.repeat(C.read_bits(answers), runs)
         n = len(words.starts)
         edge = np.zeros(n + 1, np.int64)
         np.add.at(edge, at[gone], 1)
@@ -161,7 +182,7 @@ def _digest(chunk: C.Chunk, words: Words, doc: np.ndarray, dead: np.ndarray, wit
     spans = dead & ~np.concatenate([[False], dead[:-1] & (doc[1:] == doc[:-1])]) if len(dead) else dead
     return pa.table(
         [
-            pa.array(chunk.ids, mask=chunk.ids == C.NO_ID),
+            chunk.id_column(),
             pa.array(n_words.astype(np.int64)),
             pa.array((n_words - n_kept).astype(np.int64)),
             pa.array(np.bincount(doc[spans], minlength=docs).astype(np.int64)),

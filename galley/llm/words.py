@@ -18,6 +18,7 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 BLOCK = 1 << 20
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+_SECOND = U(0xA0761D6478BD642F)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -122,10 +123,11 @@ def slices(column: pa.Array, size: int = 4 << 20):
         at = stop
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of n words inside one document, and the index of their first word."""
+def windows(hashes: np.ndarray, first: np.ndarray, n: int, second: bool = False) -> tuple[np.ndarray, ...]:
+    """Hashes of all windows of n words inside one document, and the index of their first word. second: between them
+    another, independent hash of each."""
     if len(hashes) < n:
-        return np.zeros(0, U), np.zeros(0, np.int64)
+        return (np.zeros(0, U), *[np.zeros(0, U)] * second, np.zeros(0, np.int64))
     inside = np.ones(len(hashes) - n + 1, bool)
     ends = first[1:]
     for back in range(1, n):
@@ -133,9 +135,12 @@ def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
         at = at[(at >= 0) & (at < len(inside))]
         inside[at] = False
     # a short document clears starts of its predecessor only where those cross its end, too
-    h = np.zeros(len(inside), U)
-    for k in range(n):
-        h *= _BASE
-        h += hashes[k : k + len(inside)]
     at = np.flatnonzero(inside)
-    return mix(h[at] ^ U(n)), at
+    power, inverse = _power(len(hashes))
+
+    def rolled(values: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(values) + 1, U)
+        np.cumsum(values * power[: len(values)], out=total[1:])
+        return mix((total[at + n] - total[at]) * inverse[at] ^ U(n))
+
+    return (rolled(hashes), *[rolled(mix(hashes ^ _SECOND))] * second, at)

@@ -85,7 +85,7 @@ def got(df):
 
 
 def test_edges(spark):
-    rows = [(i, f"the Cat sat on the mat {i % 3} x{i}") for i in range(30)] + [(100, None), (101, ""), (102, "é " * 50), (None, "the cat"), (1, "again again"), (103, "unseen words only")]
+    rows = [(i, f"the Cat sat on the mat {i % 3} x{i}") for i in range(30)] + [(100, None), (101, ""), (102, "é " * 50), (None, "the cat"), (1, "again again"), (103, "unseen words only"), (2**63 - 1, "the end")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("score", F.lit("c"))
     assert got(score_documents(df)) == brute(rows)
     assert score_documents(df.filter("false")).count() == 0

@@ -8,14 +8,14 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from galley.llm.components import connected_components
-from galley.llm.near import IDF_SHARE, near_dedup, signatures
+from galley.llm.near import IDF_SHARE, common_weights, near_dedup, shared_weight, signatures
 
 
 def brute(rows, t=0.8, n=5):
     """Classes by comparing all pairs that share a shingle."""
     words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or "")) for _, x in rows]
     bags = [Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) for w in words]
-    df = Counter(s for b in bags for s in b)
+    df = Counter(s for b in {tuple(w): b for w, b in zip(words, bags, strict=True)}.values() for s in b)
     size = len(rows)
     w = {s: 1 + IDF_SHARE * math.log(max(1, size / c)) / math.log(max(2, size)) for s, c in df.items()}
     total = [sum(c * w[s] for s, c in b.items()) for b in bags]
@@ -91,6 +91,39 @@ def test_groups(spark):
     assert near_dedup(df.filter("false")).count() == 0
 
 
+def test_large_group(spark, monkeypatch):
+    """Over 1,000 copies of one text with J from 0.2 to 1 to it, and texts that share half of it; blocks are small, so that a bucket has many."""
+    from galley.llm import near
+
+    monkeypatch.setattr(near, "BLOCK", 64)
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(vocab) for _ in range(150)]
+    rows = []
+    for i in range(1100):
+        share = rng.choice([0.001, 0.004, 0.006, 0.01, 0.02, 0.04, 0.1])
+        text = edited(rng, base, share)
+        if i % 5 == 0:  # edits that several copies share: links that don't go through the base
+            text[i % 3 * 40 : i % 3 * 40 + 12] = [f"s{i % 15}{k}" for k in range(12)]
+        rows.append((i, " ".join(text)))
+    rows += [(2000 + i, " ".join(base[:75] + [rng.choice(vocab) for _ in range(75)])) for i in range(50)]
+    got = classes(near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == brute(rows)
+    assert 500 < max(map(len, got)) < 1100
+
+
+def test_common_weights():
+    rng = np.random.default_rng(4)
+    vectors = []
+    for _ in range(30):
+        keys = np.sort(rng.choice(6000, 900, replace=False)).astype(np.uint64)
+        vectors.append((keys, rng.integers(1, 4, len(keys)), 1 + keys.astype(np.int64) % 50))
+    a, b = np.arange(10), np.arange(5, 30)
+    got = common_weights(vectors, a, b, 1000)
+    want = [[shared_weight(vectors[i], vectors[j], 1000) for j in b] for i in a]
+    assert np.allclose(got, want, rtol=1e-5)
+
+
 def test_documents(spark):
     p = "/root/testdata/sf0.001/documents.parquet"
     assert classes(near_dedup(spark.read.parquet(p)).collect()) == brute(duckdb.sql(f"select doc_id, text from '{p}'").fetchall())

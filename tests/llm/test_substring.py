@@ -13,12 +13,12 @@ def brute(rows, n=13):
     for d, w in words:
         for i in range(len(w) - n + 1):
             k = tuple(w[i : i + n])
-            first[k] = min(first.get(k, 1 << 62), 1 << 62 if d is None else d)
+            first[k] = min(first.get(k, 1 << 64), 1 << 64 if d is None else d)
     out = []
     for d, w in words:
         dead = set()
         for i in range(len(w) - n + 1):
-            if first[tuple(w[i : i + n])] < (1 << 62 if d is None else d):
+            if first[tuple(w[i : i + n])] < (1 << 64 if d is None else d):
                 dead.update(range(i, i + n))
         kept = [x for i, x in enumerate(w) if i not in dead]
         out.append((d, len(w), len(dead), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
@@ -31,7 +31,7 @@ def got(df):
 
 def test_edges(spark):
     a = " ".join(f"w{i}" for i in range(40))
-    rows = [(5, a), (3, a + "  tail\tx"), (9, "w3 " + a[:60]), (1, None), (2, ""), (4, " \n "), (None, a), (None, a), (7, "é ü " * 20), (8, "x " * 14), (6, a.upper()), (5, a), (10, "x " * 30)]
+    rows = [(5, a), (3, a + "  tail\tx"), (9, "w3 " + a[:60]), (1, None), (2, ""), (4, " \n "), (None, a), (None, a), (7, "é ü " * 20), (8, "x " * 14), (6, a.upper()), (5, a), (10, "x " * 30), (2**63 - 1, a + " z"), (-(2**63), "n " * 20), (2**63 - 1, a)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("extra", F.lit(1)).withColumn("chunk", F.lit("c"))
     res = substring_dedup(df)
     assert got(res) == brute(rows)
@@ -40,6 +40,16 @@ def test_edges(spark):
     assert substring_dedup(df.filter("false")).count() == 0
 
 
+def test_one_id_for_all(spark):
+    """No id gathers in one chunk."""
+    from galley.llm import chunks as C
+
+    df = spark.range(20000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a b c").alias("text"))
+    n = C.store(df, "doc_id", "text", 16).select("chunk", (F.length("nulls")).alias("n")).groupBy("chunk").sum("n").collect()
+    assert len(n) == 16 and max(r[1] for r in n) < 2000
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup(df).collect()} == {(None, 3, 0)}
+
+
 def test_documents(spark):
     p = "/root/testdata/sf0.001/documents.parquet"
     rows = duckdb.sql(f"select doc_id, text from '{p}'").fetchall()
