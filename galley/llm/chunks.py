@@ -158,14 +158,16 @@ def send(stored: DataFrame, emit: Callable[[int, Chunk], Iterable[tuple[int, byt
     return stored.groupBy("chunk").applyInArrow(run, BLOCK)
 
 
-def send_again(stored: DataFrame, answers: DataFrame, emit: Callable[[int, Chunk, dict[int, bytes]], Iterable[tuple[int, bytes]]]) -> DataFrame:
-    """As send, with the answers that the chunk got before, by bucket."""
+def send_again(stored: DataFrame, answers: DataFrame, emit: Callable[..., Iterable[tuple[int, bytes]]]) -> DataFrame:
+    """As send, with the answers that the chunk got before, by bucket, and where answers have totals, those."""
+    totals = "n" in answers.columns
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return blocks([], ("bucket", "chunk", "body"))
         k = left["chunk"][0].as_py()
-        return trimmed(blocks([(b, k, x) for b, x in emit(k, Chunk(left), by_bucket(right))], ("bucket", "chunk", "body")))
+        more = [(right["n"][0].as_py(), right["v"][0].as_py())] if totals else []
+        return trimmed(blocks([(b, k, x) for b, x in emit(k, Chunk(left), by_bucket(right), *more)], ("bucket", "chunk", "body")))
 
     return stored.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, BLOCK)
 
@@ -188,6 +190,23 @@ def answer(sent: DataFrame, merge: Callable[[list[bytes]], list[bytes]]) -> Data
     return sent.groupBy("bucket").applyInArrow(run, ANSWER)
 
 
+def answer_and_total(sent: DataFrame, merge: Callable[[list[bytes]], tuple[list[bytes], tuple[int, int]]]) -> DataFrame:
+    """As answer; merge gives two numbers of the bucket, too, and their sums over all buckets come with every answer as columns n, v.
+    So no chunk need hear from a bucket to which it sent nothing."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        bucket = table["bucket"][0].as_py()
+        out, (n, v) = merge(table["body"].to_pylist())
+        rows = [(k, bucket, x, 0, 0) for k, x in zip(table["chunk"].to_pylist(), out, strict=True)] + [(-1, bucket, b"", n, v)]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+        return trimmed(pa.table([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "body", "n", "v"]))
+
+    both = sent.groupBy("bucket").applyInArrow(run, ANSWER + ", n bigint, v bigint")
+    totals = both.filter("chunk < 0").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    return both.filter("chunk >= 0").drop("n", "v").crossJoin(F.broadcast(totals))  # one row
+
+
 def note(chunk: int, body: bytes) -> tuple[int, bytes]:
     """A block that comes back to the chunk as bucket -1."""
     return -1 - chunk, body

@@ -116,11 +116,14 @@ class EliasFano:
     def get(self, i: np.ndarray) -> np.ndarray:
         return ((self.bits.select1(i) - i).astype(U) << U(self.low)) | self._low(i)
 
-    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The index of the first value of at least x (n where there is none), and whether it is x."""
+    def successor(self, x: np.ndarray, first: np.ndarray | None = None, end_: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The index of the first value of at least x (n where there is none), and whether it is x. With first and end_ the search is
+        among the values from first on and before end_ (their end where there is none)."""
         high = (x >> U(self.low)).astype(np.int64)
         begin = np.where(high > 0, self.bits.select0(np.maximum(high - 1, 0)) - high + 1, 0)
         end = self.bits.select0(high) - high
+        if first is not None:
+            begin, end = np.clip(begin, first, end_), np.clip(end, first, end_)
         low = x & U((1 << self.low) - 1)
         i, open_ = begin.copy(), np.flatnonzero(begin < end)
         equal = np.zeros(len(x), bool)
@@ -134,14 +137,14 @@ class EliasFano:
 
 
 class BigramTrie:
-    """Contexts (40-bit ids) -> pointers -> successors (40-bit ids, relative to their context) -> codes.
+    """Contexts (48-bit ids) -> pointers -> successors (40-bit ids, relative to their context) -> codes.
 
     Successors of the context with index i are kept as (i << 40) + id, so the whole level is one
-    monotone sequence; the pointers bound the search to the context's own range. ``open`` maps
-    a file; codes are one byte: see lm.quantise.
+    monotone sequence; a successor is searched only in the range that the pointers give for its context.
+    Codes are one byte: see lm.quantise.
     """
 
-    ID_BITS = 40
+    CONTEXT_BITS, ID_BITS = 48, 40
 
     @classmethod
     def pack(cls, context: np.ndarray, successor: np.ndarray, codes: np.ndarray) -> bytes:
@@ -149,7 +152,7 @@ class BigramTrie:
         start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
         index = np.repeat(np.arange(len(start), dtype=np.int64), np.diff(np.append(start, len(context))))
         parts = [
-            EliasFano.pack(context[start], 1 << cls.ID_BITS),
+            EliasFano.pack(context[start], 1 << cls.CONTEXT_BITS),
             EliasFano.pack(np.append(start, len(context)).astype(U), len(context) + 1),
             EliasFano.pack((index.astype(U) << U(cls.ID_BITS)) + successor, max(1, len(start)) << cls.ID_BITS),
             codes.astype(np.uint8).tobytes(),
@@ -171,8 +174,7 @@ class BigramTrie:
             return out
         i = i[at]
         lo, hi = (self.pointers.get(i + k).astype(np.int64) for k in (0, 1))
-        j, found = self.successors.successor((i.astype(U) << U(self.ID_BITS)) + successor[at])
-        good = found & (j >= lo) & (j < hi)
+        j, good = self.successors.successor((i.astype(U) << U(self.ID_BITS)) + successor[at], lo, hi)
         out[at[good]] = self.codes[j[good]]
         return out
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from galley.llm.elias_fano import BigramTrie, EliasFano, MappedTrie
-from galley.llm.lm import STEP, dequantise, quantise, score_documents
+from galley.llm.lm import STEP, coarse, dequantise, quantise, score_documents, spread, uncoarse
 
 U = np.uint64
 
@@ -45,6 +45,21 @@ def test_codes():
     assert (q <= p * (1 + 1e-9)).all() and (q >= p * 10**-STEP * 0.999).all()
 
 
+def test_sums_to_at_most_one():
+    """Whatever follows a context, with the rounding of both kinds."""
+    rng = np.random.default_rng(2)
+    count = rng.integers(0, 500, 400)
+    unigram = (count + 0.5) / (count.sum() + 0.5 * ((count > 0).sum() + 1))
+    rough = uncoarse(coarse(count)) / (count.sum() + 0.5 * ((count > 0).sum() + 1))
+    assert (rough <= unigram * (1 + 1e-9)).all()
+    for c1 in (1, 7, 4000):
+        pairs = np.bincount(rng.choice(400, c1), minlength=400)
+        m = spread(c1)
+        code = np.where(pairs > 0, quantise((pairs + m * rough) / (c1 + m)), 0)
+        p = np.where(code > 0, dequantise(code), m * unigram / (c1 + m))
+        assert 0.85 < p.sum() <= 1 + 1e-9
+
+
 def words(t):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
 
@@ -60,22 +75,18 @@ def brute(rows):
             bi.update(zip(w, w[1:]))
     n, v = sum(uni.values()), len(uni)
     pu = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
-    share, seen = Counter(), Counter()
-    for (a, b), c in bi.items():
-        k = int(math.log2(uni[a]))
-        q = (c - 1) / max(1, uni[a] - 1)
-        coarse = 2.0 ** ((round(6 * math.log2(uni[b] + 0.5) + 6) - 6) / 6) / (n + 0.5 * (v + 1))
-        share[k] += c * q / (q + coarse)
-        seen[k] += c
     out = []
     for d, t in rows:
         w = ["</s>", *words(t), "</s>"]
         base = score = 0.0
         for a, b in zip(w, w[1:]):
             base += math.log10(pu(b))
-            lam = min(0.999, share[k] / seen[k]) if uni[a] and seen[k := int(math.log2(uni[a]))] else 0
-            q = float(dequantise(quantise(np.array([bi[a, b] / uni[a]])))[0]) if bi[a, b] else 0
-            score += math.log10(lam * q + (1 - lam) * pu(b))
+            m = 2 * uni[a] ** 0.8
+            code = 0
+            if bi[a, b]:
+                rough = float(uncoarse(coarse(np.array([uni[b]])))[0]) / (n + 0.5 * (v + 1))
+                code = int(quantise(np.array([(bi[a, b] + m * rough) / (uni[a] + m)]))[0])
+            score += math.log10(float(dequantise(np.array([code]))[0]) if code else (m / (uni[a] + m) if uni[a] else 1) * pu(b))
         out.append((d, held[d], len(w) - 1, sum(uni[x] > 0 for x in w[1:]), n, round(base, 6), round(score, 6)))
     return sorted(out, key=str)
 
