@@ -1,13 +1,17 @@
 """Sharding by best-fit-decreasing bin packing (operator 10).
 
-Equal texts form an indivisible group. Groups that weigh at least 1/UNITS of a mean shard are items
-of their own, of which there are at most shards x UNITS; the many lighter ones are first joined,
-by a hash of their text, into shards x UNITS items of light groups. So best-fit-decreasing packs
-a list of proven size (UNITS_PER_SHARD x 2 x shards) on the driver, whatever the corpus, while every row finds its shard by
-broadcast tables of the same bound. A heavier-than-mean group gets a shard alone.
-
-Sizes: UTF-8 bytes of the text plus 16, null texts counting as empty ones (and grouped with them). Rows with a null or repeated
-doc_id are rows like others. An empty table gives an empty result.
+Equal texts form an indivisible group. Best-fit-decreasing asks of groups only how many there are of each size: a run of equal
+sizes enters the tightest bin until that is full, then the next. So the executors count groups by size, the driver
+packs runs, and each group finds its shard by its size and its rank among groups of that size, which executors number
+part by part. The sizes differ, so k of them add up to k^2/2 bytes at least: the driver gets at most
+sqrt(2 x bytes of the corpus) runs (15 million at 100 TB), and in practice far fewer.
+
+The capacity is the least, within 1/1000 of a mean shard, for which the groups need no more than the shards. A group heavier
+than the mean of what is left gets a shard alone.
+
+Sizes: UTF-8 bytes of the text plus 16, null texts counting as empty ones (and grouped with them). A very long text is one row like others. Rows with a
+null or repeated doc_id are rows like others; repeated rows stay together. An empty table gives an empty result. Only the two named columns are read, so
+others may have any name.
 """
 
 from __future__ import annotations
@@ -19,7 +23,6 @@ from pyspark.sql import functions as F
 
 from galley.llm.scratch import materialize
 
-UNITS_PER_SHARD = 256
 ROW_BYTES = 16
 
 
@@ -81,29 +84,63 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
-def near_equal(sizes: list[int], shards: int) -> list[int]:
-    """The shard of each item: items above the mean of what is left are alone; the others are packed
-    with the least capacity for which best-fit-decreasing needs no more than the shards left."""
-    out = [0] * len(sizes)
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    total, used = sum(sizes), 0
-    while order and used < shards - 1 and sizes[order[0]] * (shards - used) > total:
-        out[order[0]] = used
-        total -= sizes[order[0]]
-        used += 1
-        order = order[1:]
+def pack_runs(runs: list[tuple[int, int]], capacity: int, bins: int) -> list[tuple[int, int, int, int]] | None:
+    """What best_fit_decreasing does with runs (size, count) of falling size: (size, first, end, bin) for the items of a size from
+    number first on and before end. None where more bins are needed."""
+    tree, used, out = CapacityTree(), 0, []
+    for size, count in runs:
+        at = 0
+        while at < count:
+            found = tree.take_tightest(size)
+            if found is None:
+                if used == bins:
+                    return None
+                found, used = (max(capacity, size), used), used + 1
+            # having been the tightest that fits, it stays so until it is full
+            n = min(count - at, found[0] // size)
+            out.append((size, at, at + n, found[1]))
+            tree.insert(found[0] - n * size, found[1])
+            at += n
+    return out
+
+
+def near_equal(runs: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int, int]]:
+    """Runs as by pack_runs: items above the mean of what is left are alone; the others are packed with
+    the least capacity, within a thousandth of the mean, for which best-fit-decreasing needs no more than the shards left."""
+    runs = sorted(runs, reverse=True)
+    total, used, out = sum(s * n for s, n in runs), 0, []
+    while runs and used < shards - 1 and runs[0][0] * (shards - used) > total:
+        (size, count), first = runs[0], sum(e - f for s, f, e, _ in out if s == runs[0][0])
+        out.append((size, first, first + 1, used))
+        total, used = total - size, used + 1
+        runs = ([(size, count - 1)] if count > 1 else []) + runs[1:]
+    if not runs:
+        return out
+    begun = {runs[0][0]: sum(e - f for s, f, e, _ in out if s == runs[0][0])}
     left = shards - used
-    rest = [sizes[i] for i in order]
-    low, high = -(-total // left), max(1, 2 * -(-total // left) + max(rest, default=0))
-    while low < high:
+    low = -(-total // left)
+    step = max(1, low // 1000)
+    high, packed = low, pack_runs(runs, low, left)
+    while packed is None:  # a step of twice the length each time, then halves of the last one
+        low, high, step = high + 1, high + step, 2 * step
+        packed = pack_runs(runs, high, left)
+    while high - low > total // left // 1000:
         middle = (low + high) // 2
-        if max(best_fit_decreasing(rest, middle), default=0) < left:
-            high = middle
-        else:
+        found = pack_runs(runs, middle, left)
+        if found is None:
             low = middle + 1
-    for i, b in zip(order, best_fit_decreasing(rest, high), strict=True):
-        out[i] = used + b
-    return out
+        else:
+            high, packed = middle, found
+    return out + [(s, begun.get(s, 0) + f, begun.get(s, 0) + e, used + b) for s, f, e, b in packed]
+
+
+def _numbered(rows: DataFrame, group: list[str], number: str) -> DataFrame:
+    """rows (with columns part, at) with a gapless number from 0 inside each group. A group is numbered part by part,
+    so one that holds most rows isn't one task's."""
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*group, "part").count().select(*group, "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy(*group, "part").orderBy("at")) - 1
+    return rows.withColumn("within", within).join(offsets, [*group, "part"]).withColumn(number, (F.col("offset") + F.col("within")).cast("bigint")).drop("within", "offset")
 
 
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 40) -> DataFrame:
@@ -121,28 +158,12 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
         "sized",
     )
-    items = UNITS_PER_SHARD * shards
-    light = F.pmod(F.xxhash64("key"), F.lit(items))
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
-    heavy = F.col("bytes") * F.lit(items) >= F.lit(total)
-    found = (
-        groups.select(F.when(heavy, F.col("key")).alias("key"), F.when(~heavy, light).alias("light"), "bytes")
-        .groupBy("key", "light").agg(F.sum("bytes").alias("bytes")).collect()
-    )
-    found.sort(key=lambda r: (r.light is None, r.light or 0, bytes(r.key or b"")))
-    placed = list(zip(found, near_equal([r.bytes for r in found], shards), strict=True))
-    by_key = spark.createDataFrame([(r.key, s) for r, s in placed if r.key is not None], "key binary, heavy_shard int")
-    by_light = spark.createDataFrame([(r.light, s) for r, s in placed if r.light is not None], "light bigint, light_shard int")
-    # both tables have at most shards x UNITS_PER_SHARD rows
-    put = (
-        rows.withColumn("light", light).join(F.broadcast(by_key), "key", "left").join(F.broadcast(by_light), "light", "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("heavy_shard", "light_shard").alias("shard"), "part", "at")
-    )
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = put.groupBy("shard", "part").count().select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("shard", "part").orderBy("at")) - 1
-    return (
-        put.withColumn("within", within).join(offsets, ["shard", "part"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    groups = materialize(
+        rows.groupBy("key").agg(F.sum("size").alias("bytes")).select("key", "bytes", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "groups"
     )
+    sizes = [(r.bytes, r.n) for r in groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).collect()]
+    runs = spark.createDataFrame(near_equal(sizes, shards), "bytes bigint, first bigint, end bigint, shard int")
+    ranked = _numbered(groups, ["bytes"], "rank")
+    placed = materialize(ranked.join(runs, "bytes").filter("rank >= first and rank < end").select("key", "shard"), "placed")
+    put = _numbered(rows.join(placed, "key").select("doc_id", "size", "text_crc32", "shard", "part", "at"), ["shard"], "slot")
+    return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -1,13 +1,13 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from galley.llm.sharding import CapacityTree, best_fit_decreasing, near_equal, shard_documents
+from galley.llm.sharding import CapacityTree, best_fit_decreasing, near_equal, pack_runs, shard_documents
 
 
 @given(st.lists(st.integers(1, 60), max_size=60), st.integers(60, 100))
@@ -39,13 +39,46 @@ def test_tree():
         held.discard(want)
 
 
-def test_near_equal():
-    sizes = [1000] + [10] * 390
-    out = near_equal(sizes, 40)
+def loads(runs):
     load = defaultdict(int)
-    for s, b in zip(sizes, out, strict=True):
-        load[b] += s
+    for size, first, end, b in runs:
+        load[b] += size * (end - first)
+    return load
+
+
+@given(st.lists(st.integers(1, 30), max_size=80), st.integers(30, 90))
+@settings(max_examples=100, deadline=None)
+def test_runs_are_best_fit_decreasing(sizes, capacity):
+    bins = best_fit_decreasing(sizes, capacity)
+    want = defaultdict(Counter)
+    for s, b in zip(sizes, bins, strict=True):
+        want[b][s] += 1
+    runs = sorted(Counter(sizes).items(), reverse=True)
+    need = max(bins, default=-1) + 1
+    got = defaultdict(Counter)
+    for size, first, end, b in pack_runs(runs, capacity, need):
+        got[b][size] += end - first
+    assert got == want
+    if need:
+        assert pack_runs(runs, capacity, need - 1) is None
+
+
+@given(st.lists(st.integers(1, 400), max_size=60), st.integers(1, 9))
+@settings(max_examples=100, deadline=None)
+def test_near_equal(sizes, shards):
+    out = near_equal(list(Counter(sizes).items()), shards)
+    for size, n in Counter(sizes).items():  # every item of a size lies in one run
+        assert sorted(x for s, f, e, _ in out if s == size for x in range(f, e)) == list(range(n))
+    load = loads(out)
+    assert all(0 <= b < shards for b in load)
+    assert max(load.values(), default=0) <= max(max(sizes, default=0), 1.5 * sum(sizes) / shards + max(sizes, default=0))
+
+
+def test_heavy_items_are_alone():
+    load = loads(near_equal([(1000, 1), (10, 390)], 40))
     assert len(load) == 40 and sorted(load.values())[:-1] == [100] * 39
+    load = loads(near_equal([(1000, 3), (10, 10)], 5))
+    assert sorted(load.values()) == [50, 50, 1000, 1000, 1000]
 
 
 def check(rows, out, shards):
@@ -71,6 +104,26 @@ def test_edges(spark):
     assert shard_documents(df.filter("false")).count() == 0
 
 
+def test_query_is_best_fit_decreasing(spark):
+    """Against a plain best-fit-decreasing over all groups, one by one, with one more byte of capacity until the shards do."""
+    rng = random.Random(8)
+    rows = [(i, "x" * rng.randrange(1, 60) + str(rng.randrange(40))) for i in range(900)] + [(i, "hot") for i in range(900, 1500)]
+    out = shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), shards=7).collect()
+    check(rows, out, 7)
+    group = Counter()
+    for _, t in rows:
+        group[t] += len(t) + 16
+    load = Counter()
+    for r in out:
+        load[r.shard] += r.size
+    rest = sorted(group.values())[:-1]
+    assert load[0] == group["hot"]
+    capacity = -(-sum(rest) // 6)
+    while max(best_fit_decreasing(rest, capacity)) > 5:
+        capacity += 1
+    assert max(load[k] for k in range(1, 7)) <= capacity + sum(rest) / 6000 + 1
+
+
 def test_documents(spark):
     p = "/root/testdata/sf0.01/documents.parquet"
     rows = duckdb.sql(f"select doc_id, text from '{p}'").fetchall()
@@ -79,4 +132,4 @@ def test_documents(spark):
     load = defaultdict(int)
     for r in out:
         load[r.shard] += r.size
-    assert len(load) == 40 and max(load.values()) < 1.05 * sum(load.values()) / 40
+    assert len(load) == 40 and max(load.values()) < 1.01 * sum(load.values()) / 40
