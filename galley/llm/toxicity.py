@@ -1,8 +1,8 @@
 """Toxicity by classifier chains (operator 8).
 
 Categories are predicted in the order of the chain. Each has a logistic model over the presence
-of words and word beginnings (A-Z lower-cased) and over the logits of the categories before it.
-In training those logits are out of fold: fold k's come from models fitted without fold k, so later links see
+of words and word beginnings (A-Z lower-cased) and over the probabilities of the categories before it.
+In training those probabilities are out of fold: fold k's come from models fitted without fold k, so later links see
 earlier ones as uncertain as they will be on new text.
 
 The models are fitted on the driver from a sample of at most ``sample`` labelled rows, taken by a hash
@@ -10,7 +10,9 @@ of doc_id; ``FEATURES`` bounds what each looks at. Every document is scored by i
 
 Labels that are null, or without a document, don't train. Without labels of both kinds a category
 gets its share as constant probability (0.5 without any). Null texts are empty. Null ids are scored, not trained on.
-Repeated rows count as often as they are there. An empty table gives an empty result.
+Of several documents with a labelled doc_id, the one with the least features (as bytes) trains; equal label rows count once, different
+ones for one id each. So the driver never gets more than ``sample`` rows. Very long texts are looked at whole, texts in slices of bounded size.
+An empty table gives an empty result. Only the named columns are read, so others may have any name; ``drop_toxic`` passes all on.
 """
 
 from __future__ import annotations
@@ -78,7 +80,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 1
 
 
 class Link:
-    """The model of one category: features, their weights, weights of earlier logits, intercept."""
+    """The model of one category: features, their weights, weights of earlier probabilities, intercept."""
 
     def __init__(self, doc: np.ndarray, feature: np.ndarray, y: np.ndarray, earlier: np.ndarray):
         self.features = np.zeros(0, np.int64)
@@ -107,13 +109,13 @@ class Link:
             x[doc[hit], at[hit]] = 1
         return x
 
-    def logits(self, doc: np.ndarray, feature: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
+    def probability(self, doc: np.ndarray, feature: np.ndarray, n: int, earlier: np.ndarray) -> np.ndarray:
         out = np.full(n, self.intercept) + earlier @ self.chain
         if len(self.features):
             at = np.minimum(np.searchsorted(self.features, feature), len(self.features) - 1)
             hit = self.features[at] == feature
             out += np.bincount(doc[hit], self.weights[at[hit]], n)
-        return np.clip(out, -30, 30)
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 class Chain:
@@ -133,7 +135,7 @@ class Chain:
                 held = np.zeros(len(y))
                 for k in range(FOLDS):
                     out = fold == k
-                    held[out] = cls._link(doc, feature, y, earlier, ~np.isnan(y) & ~out).logits(doc, feature, len(y), earlier)[out]
+                    held[out] = cls._link(doc, feature, y, earlier, ~np.isnan(y) & ~out).probability(doc, feature, len(y), earlier)[out]
                 earlier = np.column_stack([earlier, held])
         return cls(links)
 
@@ -144,10 +146,10 @@ class Chain:
         return Link(new[doc[some]], feature[some], y[rows], earlier[rows])
 
     def probabilities(self, doc: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
-        logits = np.zeros((n, 0))
+        out = np.zeros((n, 0))
         for link in self.links:
-            logits = np.column_stack([logits, link.logits(doc, feature, n, logits)])
-        return 1 / (1 + np.exp(-logits))
+            out = np.column_stack([out, link.probability(doc, feature, n, out)])
+        return out
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id", text_col: str = "text", sample: int = 5000) -> Chain:
@@ -164,7 +166,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
 
     # the chosen rows, at most ``sample`` long numbers, are broadcast; their texts stay on the executors
     kinds = ", ".join(f"y{j} double" for j in range(len(categories)))
-    rows = text.join(F.broadcast(chosen), "id").mapInArrow(features, f"id bigint, f binary, {kinds}").toArrow()
+    found = text.join(F.broadcast(chosen), "id").mapInArrow(features, f"id bigint, f binary, {kinds}")
+    rows = found.groupBy("id", *[f"y{j}" for j in range(len(categories))]).agg(F.min("f").alias("f")).toArrow()
     rows = rows.sort_by([(n, "ascending") for n in rows.column_names if n != "f"])
     y = np.column_stack([np.array(rows[f"y{j}"].to_pylist(), float) for j in range(len(categories))]) if len(rows) else np.zeros((0, len(categories)))
     ids = np.array(rows["id"].to_pylist(), np.int64)
