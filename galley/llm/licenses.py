@@ -256,11 +256,11 @@ def license_scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_co
     ).select(F.col("dir").alias("above"), F.col("best.license").alias("dir_license"), (-F.col("best.minus")).alias("dir_score"))
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    nearest = (
+    nearest = materialize(
         found.filter("license is null and dir is not null").select("dir").distinct()
         .select("dir", F.posexplode(F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(above)).alias("depth", "above"))
-        .join(governed, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "dir_license", "dir_score")).alias("near"))
-    )
+        .join(governed, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "dir_license", "dir_score")).alias("near")), "nearest"
+    )  # fmt: skip  # written, so that Spark can split the files of a large directory in the last join
     own = F.col("license").isNotNull()
     return found.join(nearest, "dir", "left").select(
         "doc_id", "path",
