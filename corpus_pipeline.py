@@ -1,11 +1,15 @@
 """The corpus pipeline: documents in, packed sequences out. Each stage is one operator of galley.llm.
 
 A stage gets what its predecessor kept, written and read again, and all but the last return the
-columns of documents.
+columns of documents. Every stage keeps rows with a null doc_id or text (null counts as the empty text: of several empty texts the
+exact stage keeps one), looks at very long texts whole, and takes an empty table and further columns of any name. Of rows that
+repeat each other, and in ties, one row stays: that of the largest doc_id in the exact stage, the first in the near-duplicate stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +22,15 @@ from galley.llm.scratch import materialize
 from galley.llm.toxicity import drop_toxic, fit_chain
 from galley.session import make_importable
 
-ROW = "_pipeline_row"
+
+def _kept(docs: DataFrame, decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of docs whose number is among those that decide returns. decide gets docs with a number, and its column's name. The
+    numbers are written once, so both sides of the join see the same ones."""
+    row = "row"
+    while row.lower() in [c.lower() for c in docs.columns]:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    return numbered.join(decide(numbered, row), row, "left_semi").drop(row)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +42,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id."""
     make_importable(spark)
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    kept = exact_dedup(rows, row_col=ROW).filter("kept").select(F.col("row").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    return _kept(docs, lambda rows, row: exact_dedup(rows, row_col=row).filter("kept").select(F.col("row").alias(row)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
     make_importable(spark)
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    kept = near_dedup(rows, id_col=ROW).filter("kept").select(F.col("doc_id").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    return _kept(docs, lambda rows, row: near_dedup(rows, id_col=row).filter("kept").select(F.col("doc_id").alias(row)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
