@@ -11,8 +11,11 @@
    a passage, and aligns it with the item by words (A-Z lower-cased): match 2, mismatch -1, gap -1. The score over
    twice the item's words is 1 for a whole copy. Passages of at least ``threshold`` are returned.
 
-Items of fewer than n words can't be told from chance and match nothing. Null texts are empty. Null or repeated ids are ids like
-others; rows that repeat both ids give rows for each. Empty tables give an empty result.
+Items of fewer than n words are matched as wholes only: a text of the same words always, and the words in a row inside a text
+if there are two or more and the product of their rates is at most ``rare`` (else they can't be told from chance). Null texts are empty. Null or
+repeated ids are ids like others; rows that repeat both ids give one row with all their passages. Of passages with the best score, that which starts last is
+given. Very long texts are looked at whole, batches in slices of bounded bytes. Empty tables give an empty result. Only the named columns are read,
+so others may have any name; ``drop_contaminated`` passes all on.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.words import Words, mix
+from galley.llm.words import Words, mix, slices
 
 U = np.uint64
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -69,13 +72,15 @@ class Items:
         size = np.diff(self.first)[self.document]
         found = []
         for pattern in patterns(self.n):
-            start = np.flatnonzero((self.room > pattern[-1]) & (size >= self.n))
+            # a short item is a seed as a whole only
+            start = np.flatnonzero((self.room > pattern[-1]) & ((size >= self.n) | (size == self.room) & (size == len(pattern)) & (size == pattern[-1] + 1)))
             item = self.document[start]
             good = sum((rate[start + k] for k in pattern), np.zeros(len(start))) <= np.log(rare)
             if not found:
                 at, before = np.arange(len(good)), np.append(0, np.cumsum(good))
                 first, end = (np.searchsorted(item, item, side=s) for s in ("left", "right"))
                 stop = at + np.minimum(least, end - first)
+                # (no short item has a start here, as this pattern has n words)
                 bare = np.zeros(len(self.ids), bool)
                 bare[item[(stop <= end) & (before[np.minimum(stop, len(good))] == before[at])]] = True
                 good |= bare[item]
@@ -137,6 +142,20 @@ def align(items: np.ndarray, a0: np.ndarray, a1: np.ndarray, text: np.ndarray, b
     return score, first, last
 
 
+def whole_texts(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """Document and item indices of texts that are short items, word for word."""
+    found = []
+    for k in range(1, items.n):
+        name = lambda hashes, at: grams(hashes, tuple(range(k)))[at] if len(at) else np.zeros(0, U)  # noqa: B023, E731
+        docs, of = (np.flatnonzero(np.diff(x) == k) for x in (words.first, items.first))
+        text, item = name(words.hashes, words.first[docs]), name(items.words, items.first[of])
+        order = np.argsort(item, kind="stable")
+        lo, hi = (np.searchsorted(item[order], text, side=s) for s in ("left", "right"))
+        n = hi - lo
+        found.append((np.repeat(docs, n), of[order][np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
 def find_passages(words: Words, items: Items, table: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
     """Document index, item index, score, first and last+1 word (in the document) of passages."""
     left, hits = room(words.first), []
@@ -167,7 +186,11 @@ def find_passages(words: Words, items: Items, table: np.ndarray, threshold: floa
     score, first, last = align(items.words, items.first[item], items.first[item + 1], words.hashes, b0, b1)
     share = score / (MATCH * np.maximum(1, size[item]))
     good = share >= threshold
-    return doc[good], item[good], share[good], (first - words.first[doc])[good], (last - words.first[doc])[good]
+    found = doc[good], item[good], share[good], (first - words.first[doc])[good], (last - words.first[doc])[good]
+    doc, item = whole_texts(words, items)
+    fresh = ~np.isin(doc * len(items.ids) + item, found[0] * len(items.ids) + found[1])
+    doc, item = doc[fresh], item[fresh]
+    return tuple(np.concatenate(x) for x in zip(found, (doc, item, np.ones(len(doc)), np.zeros(len(doc), np.int64), size[item]), strict=True))
 
 
 def _blocks(benchmark: DataFrame, n: int, block_words: int) -> Iterator[Items]:
@@ -200,7 +223,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             table = items.table()
             item_ids = pa.array(items.ids, pa.int64())
             for b in batches:
-                doc, item, score, first, last = find_passages(Words.of(b.column(1), lower=True), items, table, threshold)
+                parts = [(at + doc, *more) for at, part in slices(b.column(1)) for doc, *more in (find_passages(Words.of(part, lower=True), items, table, threshold),)]
+                if not parts:
+                    continue
+                doc, item, score, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), item_ids.take(pa.array(item)), *(pa.array(x) for x in (score, first, last))], names=["doc_id", "item_id", "score", "start_word", "end_word"])
 
         found = text.mapInArrow(run, SCHEMA)
@@ -225,9 +251,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             items = shared.value
             table = items.table()
             for b in batches:
-                doc = find_passages(Words.of(b.column(at), lower=True), items, table, threshold)[0]
                 good = np.ones(b.num_rows, bool)
-                good[doc] = False
+                for begin, part in slices(b.column(at)):
+                    good[begin + find_passages(Words.of(part, lower=True), items, table, threshold)[0]] = False
                 yield b.filter(pa.array(good))
 
         out = out.mapInArrow(run, docs.schema)
@@ -244,11 +270,12 @@ def _count_words(text: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         table[(vocabulary & U((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
         counts, total = np.zeros(len(vocabulary), np.int64), 0
         for b in batches:
-            h = Words.of(b.column(0), lower=True).hashes
-            total += len(h)
-            h = h[table[(h & U((1 << TABLE_BITS) - 1)).astype(np.int64)]]
-            at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
-            counts += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary))
+            for _, part in slices(b.column(0)):
+                h = Words.of(part, lower=True).hashes
+                total += len(h)
+                h = h[table[(h & U((1 << TABLE_BITS) - 1)).astype(np.int64)]]
+                at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
+                counts += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary)) if len(vocabulary) else 0
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], total))], names=["word", "n"])
 

@@ -100,3 +100,56 @@ def test_every_fourth_word_replaced(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(9, "w1 w2 w3")], "item_id bigint, text string")
     assert sorted((r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()) == [(d, d % 5) for d in range(20)]
+
+
+def whole_query(rows, items, rare=1e-9, threshold=0.5):
+    """The best local alignment of every document with every item, whatever the seeds."""
+    words = lambda t: (t or "").lower().split()
+    out = {}
+    for d, t in rows:
+        for k, i in items:
+            a, b = words(i), words(t)
+            if len(a) >= 4 and b:
+                score = brute(a, b) / (MATCH * len(a))
+                if score >= threshold:
+                    out[d, k] = max(score, out.get((d, k), 0))
+            elif a and (a == b):
+                out[d, k] = 1.0
+    return out
+
+
+def test_query_is_brute_force(spark):
+    """All pairs of texts and items with a score that counts, by plain Smith-Waterman. Texts hold one passage each, so the aligned
+    passage is the best one."""
+    rng = random.Random(21)
+    vocab = [f"v{i}" for i in range(6000)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.randrange(12, 40)))) for k in range(12)] + [(50, "Only three words"), (51, "one"), (52, ""), (53, None)]
+    rows = []
+    for d in range(160):
+        w = [rng.choice(vocab) for _ in range(rng.randrange(0, 60))]
+        if d % 2:
+            part = items[d % 12][1].split()
+            kind = d % 8
+            if kind == 1:
+                part = part[: max(4, len(part) * 3 // 4)]
+            elif kind == 3:
+                part = [x if rng.random() > 0.15 else "edit" for x in part]
+            elif kind == 5:
+                part = [x for x in part if rng.random() > 0.1]
+            w[len(w) // 2 : len(w) // 2] = part
+        rows.append((d, " ".join(w)))
+    rows += [(500, "only THREE words"), (501, "one"), (502, "one more"), (503, None), (504, "")]
+    got = contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    want = whole_query(rows, items)
+    assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert len(want) > 75 and (500, 50) in want and (501, 51) in want
+
+
+def test_short_items_inside_a_text(spark):
+    """Three rare words in a row are found; three frequent ones aren't."""
+    rows = [(i, f"the cat sat here number{i} " + "plain words go on " * 400) for i in range(60)] + [(900, "zig zag zog " + "plain words go on " * 400)]
+    items = [(1, "zig zag zog"), (2, "plain words go"), (3, "zag zog zig")]
+    got = contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), rare=1e-12).collect()
+    assert {(r.doc_id, r.item_id) for r in got} <= {(900, 1)}
+    got = contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), rare=1e-11).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.start_word, r.end_word) for r in got] == [(900, 1, 1.0, 0, 3)]
