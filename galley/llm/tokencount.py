@@ -9,8 +9,9 @@ token that crosses boundaries goes to one section by an explicit rule:
 
 So the counts of a document's sections add up to the tokens of the whole text. Sections are lines,
 each with its line feed, or sentences: lines cut after each of ``.!?`` that a space follows, and that space. Tokens
-that begin with that space cross the boundary. Null and empty texts are one empty section. Null or repeated ids are ids like others. An empty table
-gives an empty result.
+that begin with that space cross the boundary. Null and empty texts are one empty section. Null or repeated ids are ids like others, repeated rows
+give repeated rows. A very long text is encoded whole; others come in slices of 2 MB. An empty table gives an empty result. Only the two named columns
+are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from galley.llm.words import text_buffers
+from galley.llm.words import slices, text_buffers
 
 SCHEMA = "doc_id bigint, section int, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint"
 
@@ -88,8 +89,8 @@ def section_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, sizes = vocabulary(path)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at, texts in slices(b.column(1), 2 << 20):
+                part = b.slice(at, len(texts))
                 data, offsets = text_buffers(part.column(1))
                 docs = part.num_rows
                 ids = [encoding.encode_to_numpy(t, disallowed_special=()) if t else np.zeros(0, np.uint32) for t in part.column(1).to_pylist()]
