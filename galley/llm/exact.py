@@ -6,11 +6,12 @@
    hash space and merge losslessly by sorted remainders: a fingerprint's count is exact.
 3. Fingerprints with a count above one go to byte verification: texts are grouped by their bytes,
    pre-aggregated in every task, so a group with a third of all rows arrives as a row a task.
-   A bitmap of fixed size (``ROUTE_BITS`` bits, whatever the input) keeps most other texts from
+   A bitmap of eight bits or more for each repeated fingerprint (2**``MOST_BITS`` bits, 128 MB, at most) keeps most other texts from
    being shuffled; it only ever lets more through.
 
 Of equal texts one row stays: that of the largest doc_id (a null one is the smallest); among rows
-that repeat it, one. Null counts as the empty text. An empty table gives an empty result.
+that repeat it, one. Null counts as the empty text. Very long texts are hashed and grouped whole. An empty table gives an empty result. Only the named
+columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from galley.llm.quotient import bucket_bits
 from galley.llm.scratch import materialize, shuffle_partitions
 
 U = np.uint64
-ROUTE_BITS = 25
+LEAST_BITS, MOST_BITS = 22, 30
 _SLICE = 19  # bits of the route bitmap in one row, as a power of two
 
 
@@ -82,25 +83,30 @@ def repeated_fingerprints(hashed: DataFrame) -> DataFrame:
     return hashed.select("fp").mapInArrow(build, "bucket int, body binary").groupBy("bucket").applyInArrow(merge, "fp bigint")
 
 
-def route_bitmap(repeated: DataFrame) -> bytes:
-    """2**ROUTE_BITS bits (4 MB) of the fingerprints' high bits, joined slice by slice on the executors."""
+def route_bitmap(repeated: DataFrame) -> tuple[bytes, int]:
+    """A bitmap of the fingerprints' high bits, joined slice by slice on the executors, and the logarithm of its size."""
+    wide = min(MOST_BITS, max(LEAST_BITS, (8 * repeated.count()).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << ROUTE_BITS, bool)
         for b in batches:
-            bits[b.column(0).to_numpy().view(U) >> U(64 - ROUTE_BITS)] = True
-        slices = bits.reshape(-1, 1 << _SLICE)
-        full = np.flatnonzero(slices.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([np.packbits(slices[k]).tobytes() for k in full], pa.binary())], names=["slice", "body"])
+            at = np.unique(b.column(0).to_numpy().view(U) >> U(64 - wide)).astype(np.int64)
+            full, begin = np.unique(at >> _SLICE, return_index=True)
+            bodies = []
+            for part in np.split(at & ((1 << _SLICE) - 1), begin[1:]):
+                bits = np.zeros(1 << _SLICE, bool)
+                bits[part] = True
+                bodies.append(np.packbits(bits).tobytes())
+            if len(full):
+                yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(bodies, pa.binary())], names=["slice", "body"])
 
     def either(table: pa.Table) -> pa.Table:
         out = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table["body"].to_pylist()])
         return pa.table([table["slice"][:1], pa.array([out.tobytes()], pa.binary())], names=["slice", "body"])
 
-    out = np.zeros((1 << (ROUTE_BITS - _SLICE), 1 << (_SLICE - 3)), np.uint8)
+    out = np.zeros((1 << (wide - _SLICE), 1 << (_SLICE - 3)), np.uint8)
     for r in repeated.mapInArrow(mark, "slice int, body binary").groupBy("slice").applyInArrow(either, "slice int, body binary").collect():
         out[r.slice] = np.frombuffer(r.body, np.uint8)
-    return out.tobytes()
+    return out.tobytes(), wide
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -113,11 +119,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     route = spark.sparkContext.broadcast(route_bitmap(repeated))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(route.value, np.uint8)
+        body, wide = route.value
+        bits = np.frombuffer(body, np.uint8)
         for b in batches:
             texts = normalise(b.column(0))
             fp = np.array([xxhash.xxh3_64_intdigest(x.as_buffer()) for x in texts], U)
-            at = fp >> U(64 - ROUTE_BITS)
+            at = fp >> U(64 - wide)
             some = np.flatnonzero((bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1)
             if len(some):
                 chosen = texts.take(pa.array(some))
