@@ -64,3 +64,19 @@ def test_resize_and_columns(spark):
 def test_label_line_parses(spark):
     got = values(spark, [("3 0.5 0.25 1.0 0.1",), ("x 1 2",), ("",)], "v string", T.parse_yolo(F.col("v")).cls, T.parse_yolo(F.col("v")).nh)
     assert got == [(3, 0.1), (None, None), (None, None)]
+
+
+def test_class_settings():
+    import pytest
+
+    from galley.operators.labels import ClassSettings, gate_classes
+
+    assert ClassSettings(families=("figure", "table")).classes == ("figure", "figure_cap", "table", "table_cap")
+    assert ClassSettings(families=("figure", "table"), mode="cap-only").classes == ("figure_cap", "table_cap")
+    assert ClassSettings(families=("figure",), mode="box-only").classes == ("figure",)
+    got = ClassSettings.read(names=" figure ; table_cap,listing", weights="8:1:1")
+    assert got.classes == ("figure", "table_cap", "listing") and got.weights == (8, 1, 1)
+    assert gate_classes(("table_cap", "figure", "table")) == ("table", "table_cap", "figure", "figure_cap")
+    for bad in ({"names": "figure,figure"}, {"names": "dragon"}, {"names": " ; "}, {"weights": "1:2"}, {"weights": "0:0:0"}, {"weights": "1:-1:1"}, {"mode": "none"}):
+        with pytest.raises(ValueError):
+            ClassSettings.read(**bad)
