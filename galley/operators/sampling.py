@@ -1,14 +1,11 @@
 """Samples of page candidates. Input: stem, archive, cls (array of the classes on the page; empty: a negative).
 
 Random order is the order of SHA-256 over the seed and the key, so a sample depends on data and
-seed alone, not on partitions. Round-robin over groups is a rank inside each group and then one top-n, which Spark
-does without sorting everything."""
+seed alone, not on partitions. Samples may be as large as the corpus, so none is a global sort with a limit: ``first_of`` looks up
+where the n-th row lies by counts of hash prefixes, and only rows of that one prefix are ranked."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +22,36 @@ def negatives(pages: DataFrame) -> DataFrame:
     return pages.filter(F.size("cls") == 0)
 
 
+def first_of(rows: DataFrame, n: int, order: Column, *ties: str, turn: Column | None = None) -> DataFrame:
+    """The first n rows by (turn, order, ties); order is a hash in hex. Counts by turn and the first four digits say which of these cells hold
+    the boundary; whole cells before it pass by a filter, and the cell at it, one in 65,536 of a turn, is sorted."""
+    if n <= 0:
+        return rows.limit(0)
+    keyed = rows.withColumns({"_turn": turn if turn is not None else F.lit(0), "_hash": order}).withColumn("_cell", F.left("_hash", F.lit(4)))
+    before = Window.orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)
+    turns = keyed.groupBy("_turn").agg(F.count(F.lit(1)).alias("_n"))
+    # a turn has at most one row of each archive, or there is one turn: the table of turns is as long as the largest archive's share of a sample
+    at = turns.withColumn("_past", F.coalesce(F.sum("_n").over(before), F.lit(0))).filter((F.col("_past") < n) & (F.col("_past") + F.col("_n") >= n)).first()
+    if at is None:  # fewer than n rows
+        return rows
+    inside = keyed.filter(F.col("_turn") == at["_turn"])
+    cells = inside.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))  # at most 65,536 rows
+    past = F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.lit(at["_past"])
+    cell = cells.withColumn("_past", past).filter((F.col("_past") < n) & (F.col("_past") + F.col("_n") >= n)).first()
+    whole = keyed.filter((F.col("_turn") < at["_turn"]) | ((F.col("_turn") == at["_turn"]) & (F.col("_cell") < cell["_cell"])))
+    rest = inside.filter(F.col("_cell") == cell["_cell"]).orderBy("_hash", *ties).limit(n - cell["_past"])
+    return whole.unionByName(rest).drop("_turn", "_hash", "_cell")
+
+
 def random_sample(pages: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    return pages.orderBy(shuffled(F.col("stem"), seed), "stem").limit(n)
+    return first_of(pages, n, shuffled(F.col("stem"), seed), "stem")
 
 
 def round_robin(pages: DataFrame, n: int, seed: int = 0, first: list[Column] | None = None) -> DataFrame:
     """n pages taken from the archives in turn; ``first`` orders pages inside an archive before the hash."""
     w = Window.partitionBy("archive").orderBy(*(first or []), shuffled(F.col("stem"), seed), "stem")
     ranked = pages.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n)
-    return ranked.orderBy("_rank", shuffled(F.col("archive"), seed), "archive").limit(n).drop("_rank")
+    return first_of(ranked, n, shuffled(F.col("archive"), seed), "archive", turn=F.col("_rank")).drop("_rank")
 
 
 def class_frequency(pages: DataFrame) -> DataFrame:
@@ -55,28 +73,12 @@ def balanced(pages: DataFrame, n: int, seed: int = 0) -> DataFrame:
 
 
 def class_balanced(pages: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """Round-robin over classes, each page once. A class is asked at most n times, so its first n pages
-    are all that can matter: the last step, one greedy pass, sees at most classes x n rows."""
-    order = Window.partitionBy("k").orderBy(shuffled(F.col("stem"), seed), "stem")
-    short = (
-        pages.select("stem", F.explode(F.array_distinct("cls")).alias("k")).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= n)
-        .withColumn("ko", shuffled(F.col("k"), seed)).withColumn("one", F.lit(1))
-    )
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        queues: list[Iterator[str]] = [iter(g.sort_values("r").stem) for _, g in sorted(pdf.groupby("ko"))]
-        chosen: dict[str, None] = {}
-        while queues and len(chosen) < n:
-            alive = []
-            for q in queues:
-                found = next((s for s in q if s not in chosen), None)
-                if found is not None and len(chosen) < n:
-                    chosen[found] = None
-                    alive.append(q)
-            queues = alive
-        return pd.DataFrame({"stem": list(chosen)}, dtype=object)
-
-    return pages.join(short.groupBy("one").applyInPandas(pick, "stem string"), "stem", "left_semi")
+    """Round-robin over classes, each page once: a page's turn is its least rank among the pages of one of its classes, in the order of a hash, and
+    inside a turn the classes come in the order of a hash. A page that two classes would take in one turn is taken by the first; the second
+    waits for its next turn, where a greedy pass would let it take another page at once."""
+    ranked = pages.select("stem", F.explode(F.array_distinct("cls")).alias("k")).withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(shuffled(F.col("stem"), seed), "stem")))
+    turn = ranked.filter(F.col("r") <= n).groupBy("stem").agg(F.min(F.struct("r", shuffled(F.col("k"), seed).alias("ko"))).alias("t")).select("stem", F.col("t.r").alias("r"), F.col("t.ko").alias("ko"))
+    return pages.join(first_of(turn, n, F.col("ko"), "stem", turn=F.col("r")).select("stem"), "stem", "left_semi")
 
 
 def budgets(n: int, negative_pages: int, ratio: float | None) -> tuple[int, int]:

@@ -452,7 +452,12 @@ def sample_balanced(spark, d):
     return sampling.sample(A.samples(spark, d), 100, "balanced", 7).select("stem")
 
 
-@query()
+@query(
+    f"""WITH {_POS}, r AS (SELECT stem, k, row_number() OVER (PARTITION BY k ORDER BY sha256('7|' || stem), stem) AS r FROM (SELECT DISTINCT stem, unnest(cls) AS k FROM pos)),
+    t AS (SELECT stem, r, sha256('7|' || k) AS ko, row_number() OVER (PARTITION BY stem ORDER BY r, sha256('7|' || k)) AS b FROM r)
+    SELECT stem FROM t WHERE b = 1 ORDER BY r, ko, stem LIMIT 100""",
+    "samples",
+)
 def sample_class_balanced(spark, d):
     return sampling.sample(A.samples(spark, d), 100, "class-balanced", 7).select("stem")
 
