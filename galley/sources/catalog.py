@@ -46,12 +46,20 @@ def per_archive(rows: DataFrame, target: int) -> DataFrame:
     return one.withColumn("_k", F.row_number().over(Window.partitionBy("queried_archive").orderBy("arrival"))).filter(F.col("_k") <= target).drop("_n", "_k")
 
 
+def land(rows: DataFrame, path: str) -> None:
+    """The catalog as Parquet by archive, with the year as a number (0 where it is none): a paper of several archives lies in each of their folders."""
+    archives = F.array_distinct(F.transform("categories", lambda c: F.substring_index(c, ".", 1)))
+    keyed = rows.withColumns({"archive": F.explode_outer(archives), "published_year": year_of(F.col("published"))})
+    keyed.repartition("archive", "published_year").sortWithinPartitions("published_year").write.mode("overwrite").partitionBy("archive").parquet(path)
+
+
 def candidates(catalog: DataFrame, archive: str, lo: int, hi: int, seen: DataFrame, most: int, offset: int = 0) -> DataFrame:
-    """The query of the scheduler over a landed catalog: archive and years reach the scan, newest first,
-    then papers not seen before. Entries whose year isn't a number pass."""
-    year = year_of(F.col("published"))
+    """The query of the scheduler over a catalog: newest first, then papers not seen before. Entries whose year isn't
+    a number pass. Of a catalog that ``land`` wrote, the scan reads the archive's folder alone, and skips row groups by year."""
+    year = F.col("published_year") if "published_year" in catalog.columns else year_of(F.col("published"))
     ours = F.exists("categories", lambda c: (c == archive) | c.startswith(f"{archive}."))
-    page = catalog.filter(ours & (year.between(lo, hi) | (year == 0))).orderBy(F.desc("published"), "arxiv_id").offset(offset).limit(most)
+    rows = catalog.filter(F.col("archive") == archive) if "archive" in catalog.columns else catalog
+    page = rows.filter(((year >= lo) & (year <= hi)) | (year == 0)).filter(ours).orderBy(F.desc("published"), "arxiv_id").offset(offset).limit(most)
     fresh = page.join(seen.select("arxiv_id"), "arxiv_id", "left_anti")
     return fresh.select("arxiv_id", "title", "abs_url", "source_url", "primary_category", "categories", F.when(year != 0, year.cast("string")).otherwise("").alias("year"), "published")
 
@@ -68,8 +76,8 @@ def call(fetch: Callable[[str], bytes], url: str, attempts: int = 5, sleep: Call
     raise RuntimeError(f"{url}: {attempts} attempts failed") from last
 
 
-def scan(spark: SparkSession, archives: list[str], page: Callable[[str, int, int], list[dict]], target: int, page_size: int = 100) -> DataFrame:
-    """API entries of all archives, one task each: ``page(archive, start, size)`` is the transport. A short page ends an archive;
+def scan(spark: SparkSession, archives: list[str], page: Callable[[str, int, int], list[dict]], target: int, page_size: int = 100, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """API entries of all archives, one task each: ``page(archive, start, size)`` is the transport, asked ``attempts`` times. A short page ends an archive;
     an archive that fails gives what it has. Rows follow ENTRY."""
     names = [f.name for f in S.struct(ENTRY)]
 
@@ -79,9 +87,15 @@ def scan(spark: SparkSession, archives: list[str], page: Callable[[str, int, int
                 got, seen, start = [], set(), 0
                 while len(got) < target:
                     want = min(page_size, target - len(got))
-                    try:
-                        found = page(archive, start, want)
-                    except Exception:
+                    found = None
+                    for k in range(attempts):
+                        try:
+                            found = page(archive, start, want)
+                            break
+                        except Exception:  # any transport error
+                            if k + 1 < attempts:
+                                sleep(2.0 * (k + 1))
+                    if found is None:
                         break
                     for e in found:
                         if e["id"] not in seen and len(got) < target:

@@ -1,9 +1,8 @@
-"""Sinks: annotation documents, label files, state, manifests, and the small text artefacts of a dataset."""
+"""Sinks: annotation documents, label files, manifests, and the small text artefacts of a dataset."""
 
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +33,9 @@ def manifest_documents(manifest: DataFrame) -> DataFrame:
     return lists.select("paper_id", F.to_json(F.struct(F.transform("labels", lambda x: x.dropFields("ord")).alias("labels")), {"ignoreNullFields": "false"}).alias("document"))
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """Text files partitioned by paper."""
-    docs.write.mode("overwrite").partitionBy("paper_id").text(path)
+def write_documents(docs: DataFrame, path: str, buckets: int = 64) -> None:
+    """(paper_id, document) as Parquet, in folders by a hash of the paper: as many as given, however many papers there are."""
+    docs.withColumn("bucket", F.pmod(F.xxhash64("paper_id"), F.lit(buckets))).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def label_files(pages: DataFrame) -> DataFrame:
@@ -101,30 +100,3 @@ def message_card(title: str, lines: list[str], keyword: str = "") -> str:
     """A message document for a webhook; sending it is up to the caller."""
     head = f"{keyword} {title}".strip() if keyword not in title else title
     return json.dumps({"title": head, "elements": [{"tag": "markdown", "content": x} for x in lines]}, ensure_ascii=False)
-
-
-def save_state(papers: DataFrame, root: str, version: str | None = None) -> str:
-    """A new immutable version of the state, then a pointer to it: readers see the old or the new one, never half."""
-    spark = papers.sparkSession
-    name = f"v-{version or uuid.uuid4().hex}"
-    papers.write.mode("overwrite").parquet(f"{root}/{name}")
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    tmp, current = (jvm.org.apache.hadoop.fs.Path(f"{root}/{n}") for n in (f".current-{uuid.uuid4().hex}", "CURRENT"))
-    out = fs.create(tmp, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    fs.delete(current, False)
-    fs.rename(tmp, current)
-    return name
-
-
-def load_state(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """The current version of the state; an empty one where there is none."""
-    jvm = spark.sparkContext._jvm
-    current = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    fs = current.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(current):
-        return spark.createDataFrame([], schema or S.PAPER)
-    name = spark.read.text(f"{root}/CURRENT").first().value
-    return spark.read.parquet(f"{root}/{name}")

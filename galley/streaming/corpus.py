@@ -1,8 +1,8 @@
 """Continuous corpus state on Structured Streaming.
 
-State is a table of paper records in immutable versions with a pointer (sources.sinks.save_state).
-A micro-batch is merged by ``foreachBatch``: last write wins by (batch, sequence). The version is named by the batch
-id, so a batch that runs again after a crash writes the same version: exactly once in effect."""
+State is a table of paper records in immutable pieces with a pointer (sources.state).
+A micro-batch is merged by ``foreachBatch``: last write wins by (batch, sequence). A batch that runs again after a crash puts the same rows in place of
+the same keys: exactly once in effect. Only the buckets of its keys are rewritten."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from galley import schemas as S
 from galley.operators import rollup
 from galley.sources.corpus import read_control
-from galley.sources.sinks import load_state, save_state
+from galley.sources.state import load_state, load_stats, merge_state
 
 
 def upsert(state: DataFrame, batch: DataFrame, key: str = "arxiv_id", sequence: str | None = None) -> DataFrame:
@@ -43,8 +43,11 @@ def start_upserts(stream: DataFrame, root: str, checkpoint: str, schema, key: st
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        state = load_state(spark, root, schema)
-        save_state(upsert(state, batch, key, sequence), root, f"batch-{number}")
+        batch = batch.persist()
+        try:
+            merge_state(batch, root, schema, key, lambda state, new: upsert(state, new, key, sequence))
+        finally:
+            batch.unpersist()
         if then is not None:
             then(load_state(spark, root, schema), number)
 
@@ -109,8 +112,12 @@ class CorpusLoop:
         done = self.process(new.filter("status <> 'failed'"))
         blank = {f.name: F.lit(None).cast(f.dataType) for f in S.PAPER}
         shape = lambda df: df.select(*[(F.col(n) if n in df.columns else v).cast(S.PAPER[n].dataType).alias(n) for n, v in blank.items()])
-        save_state(upsert(state, shape(done).unionByName(shape(skipped))), self.root)
-        if self.every and self.state.count() % self.every == 0:
+        batch = shape(done).unionByName(shape(skipped)).persist()
+        try:
+            merge_state(batch, self.root, S.PAPER)
+        finally:
+            batch.unpersist()
+        if self.every and load_stats(self.spark, self.root)["papers_total"] % self.every == 0:
             self.report(dashboard(self.state))
         return True
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from galley import schemas as S
 from galley.operators import rollup
-from galley.sources import catalog, corpus, sinks
+from galley.sources import catalog, corpus, sinks, state
 from galley.streaming import corpus as live
 
 
@@ -110,7 +110,7 @@ def test_catalog(spark):
             raise OSError
         return [{"id": i, "title": " T ", "published": "2020-01-01", "tags": ["", "cs.CV"], "authors": ["A"], "links": [{"href": "h.pdf", "type": "application/pdf"}]} for i in pages.get((archive, start), [])]
 
-    rows = catalog.catalog_rows(catalog.scan(spark, ["cs", "math", "stat"], page, target=10, page_size=2))
+    rows = catalog.catalog_rows(catalog.scan(spark, ["cs", "math", "stat"], page, target=10, page_size=2, sleep=lambda _: None))
     out = {r.arxiv_id: r for r in catalog.dedupe(rows).collect()}
     assert sorted(out) == ["1", "2", "3", "4"] and out["2"].also_in_archives == ["cs", "math"] and out["2"].queried_archive == "cs"
     assert (out["1"].pdf_url, out["1"].title, out["1"].primary_category, out["1"].year, out["1"].categories) == ("h.pdf", "T", "cs.CV", "2020", ["cs.CV"])
@@ -130,6 +130,18 @@ def test_catalog(spark):
     assert catalog.call(fetch, "u", sleep=waits.append) == b"ok" and waits == [30, 60, 6]
 
 
+def test_landed_catalog_is_pruned(spark, tmp_path):
+    rows = [(f"p{i}", "", "", "", None, ["cs.AI", "math.CO"] if i % 3 == 0 else ["math.CO"], f"{1990 + i % 40}-01-02" if i % 7 else "unknown") for i in range(400)]
+    flat = spark.createDataFrame(rows, "arxiv_id string, title string, abs_url string, source_url string, primary_category string, categories array<string>, published string")
+    catalog.land(flat, str(tmp_path / "c"))
+    seen = spark.createDataFrame([("p3",)], "arxiv_id string")
+    landed = catalog.candidates(spark.read.parquet(str(tmp_path / "c")), "cs", 1995, 2000, seen, 50)
+    plain = catalog.candidates(flat, "cs", 1995, 2000, seen, 50)
+    assert sorted(landed.collect()) == sorted(plain.collect()) and landed.count() > 5
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(archive" in plan and "GreaterThanOrEqual(published_year,1995)" in plan and "LessThanOrEqual(published_year,2000)" in plan
+
+
 def test_upserts_by_stream(spark, tmp_path):
     schema = S.struct("arxiv_id string, status string, seq bigint")
     src = tmp_path / "in"
@@ -140,8 +152,35 @@ def test_upserts_by_stream(spark, tmp_path):
         q = live.start_upserts(spark.readStream.schema(schema).parquet(str(src)), str(tmp_path / "state"), str(tmp_path / "cp"), schema, sequence="seq")
         q.awaitTermination()
         want |= {r[0]: r[1] for r in sorted(rows, key=lambda r: r[2])}
-        assert {r.arxiv_id: r.status for r in sinks.load_state(spark, str(tmp_path / "state"), schema).collect()} == want
-    assert sinks.load_state(spark, str(tmp_path / "none"), schema).count() == 0
+        assert {r.arxiv_id: r.status for r in state.load_state(spark, str(tmp_path / "state"), schema).collect()} == want
+    assert state.load_state(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_state_survives_a_crash(spark, tmp_path):
+    root, schema = str(tmp_path / "s"), S.struct("arxiv_id string, status string, labels_total bigint")
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    rows = lambda: {r.arxiv_id: r.labels_total for r in state.load_state(spark, root, schema).collect()}
+    state.save_state(frame([(f"p{i}", "ok", i) for i in range(200)]), root)
+
+    def crash():
+        raise OSError("lost")
+
+    with pytest.raises(OSError):  # between the new pieces and the pointer
+        state.merge_state(frame([("p1", "ok", 1000)]), root, schema, then=crash)
+    assert rows() == {f"p{i}": i for i in range(200)}
+    before = {p.name for p in (tmp_path / "s").iterdir() if p.name.startswith("piece-")}
+    for _ in range(2):  # the batch runs again
+        state.merge_state(frame([("p1", "ok", 1000), ("new", "failed", 5)]), root, schema)
+        assert rows() == {f"p{i}": i for i in range(200)} | {"p1": 1000, "new": 5}
+    stats = state.load_stats(spark, root)
+    assert (stats["papers_total"], stats["papers_ok"], stats["papers_failed"], stats["labels_total"]) == (201, 200, 1, sum(range(200)) - 1 + 1000)
+    assert len(before) == 2 and stats["last_updated"].endswith("Z")
+    for _ in range(6):
+        state.merge_state(frame([("p1", "ok", 7)]), root, schema)
+    left = [p for p in (tmp_path / "s").iterdir() if p.name.startswith("piece-")]
+    assert len(left) <= 2 + state.KEEP and rows()["p1"] == 7  # old pieces, the lost one too, are gone
+    state.merge_state(frame([]), root, schema)
+    assert len(rows()) == 201
 
 
 def test_rollup_stream(spark, tmp_path):
