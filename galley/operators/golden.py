@@ -77,8 +77,20 @@ def unlabelled_images(images: DataFrame, files: DataFrame) -> DataFrame:
     return images.select("split", "stem").join(files.select("split", "stem"), ["split", "stem"], "left_anti")
 
 
+def problems(images: DataFrame, files: DataFrame, classes: int) -> DataFrame:
+    """(split, stem, line, problem) of label files and of images without one (line 0)."""
+    missing = unlabelled_images(images, files).select("split", "stem", F.lit(0).alias("line"), F.lit("missing label").alias("problem"))
+    return verify_labels(files, classes).select("split", "stem", "line", "problem").unionByName(missing)
+
+
+def verify_counts(images: DataFrame, files: DataFrame, classes: int) -> DataFrame:
+    """(problem, n), and a row 'images' with their number."""
+    all_ = problems(images, files, classes).select("problem").unionByName(images.select(F.lit("images").alias("problem")))
+    return all_.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
 def verify_summary(images: DataFrame, files: DataFrame, classes: int, first: int = 20) -> tuple[int, int, list[str]]:
     """Images, issues, and the first messages in order."""
-    bad = verify_labels(files, classes).select("split", "stem", "line", "problem").unionByName(unlabelled_images(images, files).select("split", "stem", F.lit(0).alias("line"), F.lit("missing label").alias("problem")))
-    shown = bad.orderBy("split", "stem", "line", "problem").limit(first).collect()
-    return images.count(), bad.count(), [f"{r.split}/{r.stem}:{r.line} {r.problem}" for r in shown]
+    n = {r.problem: r.n for r in verify_counts(images, files, classes).collect()}  # a row a kind of problem
+    shown = problems(images, files, classes).orderBy("split", "stem", "line", "problem").limit(first).collect()
+    return n.pop("images", 0), sum(n.values()), [f"{r.split}/{r.stem}:{r.line} {r.problem}" for r in shown]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from galley import schemas as S
 from galley.functions import geometry as G
 from galley.functions import text as T
-from galley.operators import gates, golden, histograms, labels, resolve, rollup, sampling, tex
+from galley.operators import gates, golden, histograms, labels, resolve, rollup, sampling
 from galley.plans import adapters as A
 from galley.plans.adapters import with_sql
 from galley.sources import catalog, typeset
@@ -401,14 +401,12 @@ def year_bucket_join(spark, d):
 
 
 @query(
-    """WITH c AS (SELECT * FROM papers WHERE arxiv_id % 3 <> 0), s AS (SELECT * FROM papers WHERE arxiv_id % 2 = 0)
-    SELECT CASE WHEN coalesce(primary_category, '') = '1-URGENT.3' THEN 'failed' ELSE 'fetched' END AS status, count(*) AS n FROM c WHERE arxiv_id NOT IN (SELECT arxiv_id FROM s) GROUP BY 1""",
+    """SELECT CASE WHEN coalesce(primary_category, '') = '1-URGENT.3' THEN 'failed' ELSE 'fetched' END AS status, count(*) AS n FROM papers WHERE arxiv_id NOT IN (SELECT arxiv_id FROM papers WHERE status = 'ok') GROUP BY 1""",
     "papers",
 )
 def seen_anti_join(spark, d):
     p = A.papers(spark, d)
-    screened = rollup.screened(p.filter("arxiv_id % 3 <> 0"), p.filter("arxiv_id % 2 = 0"), ["1-URGENT.3"])
-    return screened.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return rollup.screened(p, rollup.ok(p), ["1-URGENT.3"]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -616,9 +614,14 @@ def clip_filter(spark, d):
     return _boxed(resolve.cleaned(*_united(spark, d)))
 
 
-@query(f"WITH {_CLIP} SELECT paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY label_id, page) AS id, page AS image_id, kind, label_id, round(greatest(0.0, x1 - x0) * (200 / 72.0), 4) AS w FROM clean", "floats")
+_PX = "(200 / 72.0)"
+_SIZE = ", ".join([f"round({v}0 * {_PX}, 3) AS {v}" for v in "xy"] + [f"round(greatest(0.0, {v}1 - {v}0) * {_PX}, 3) AS {n}" for v, n in (("x", "w"), ("y", "h"))])
+
+
+@query(f"WITH {_CLIP} SELECT paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY label_id, page) AS id, page AS image_id, kind, label_id, {_SIZE}, round(greatest(0.0, x1 - x0) * {_PX} * (greatest(0.0, y1 - y0) * {_PX}), 1) AS area FROM clean", "floats")
 def coco_annotations(spark, d):
-    return resolve.coco_annotations(resolve.cleaned(*_united(spark, d))).select("paper_id", "id", "image_id", "kind", "label_id", F.round("w", 4).alias("w"))
+    out = resolve.coco_annotations(resolve.cleaned(*_united(spark, d)))
+    return out.select("paper_id", "id", "image_id", "kind", "label_id", *[F.round(v, 3).alias(v) for v in ("x", "y", "w", "h")], F.round("area", 1).alias("area"))
 
 
 @query(f"WITH {_CLIP}, k AS (SELECT DISTINCT paper_id, kind FROM clean) SELECT paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY kind) - 1 AS category_id, kind AS name FROM k", "floats")
@@ -644,20 +647,23 @@ def coco_fingerprint(spark, d):
     return f.select("paper_id", F.col("num_pages").cast("int").alias("num_pages"), F.sha2(text, 256).alias("labels_sha"))
 
 
-
-
 @query(
-    """WITH s AS (SELECT *, float_id || '_' || i AS label_id, (x + y + i) % 13 AS ha, (x + y + i) % 17 AS hg FROM annotations),
-    a AS (SELECT * FROM s WHERE ha <> 0), g AS (SELECT paper_id, page, label_id, CASE WHEN y % 11 = 0 THEN 'figure' ELSE kind END AS kind, x + y % 4 AS x FROM s WHERE hg <> 0),
+    """WITH a AS (SELECT *, float_id || '_' || i AS label_id FROM annotations),
+    g AS (SELECT paper_id, page, CASE WHEN x > 900 THEN label_id || 'b' ELSE label_id END AS label_id, CASE WHEN y < 90 THEN 'listing' ELSE kind END AS kind, x + CASE WHEN y > 800 THEN 3 WHEN y > 600 THEN 2 ELSE 0 END AS x FROM a),
     j AS (SELECT coalesce(a.paper_id, g.paper_id) AS paper_id, coalesce(a.page, g.page) AS page, coalesce(a.label_id, g.label_id) AS label_id, a.kind AS ak, g.kind AS gk, a.x AS ax, g.x AS gx FROM a FULL JOIN g ON a.paper_id = g.paper_id AND a.page = g.page AND a.label_id = g.label_id)
     SELECT paper_id, page, label_id, unnest(list_filter([CASE WHEN gk IS NULL THEN 'extra' END, CASE WHEN ak IS NULL THEN 'missing' END, CASE WHEN ak <> gk THEN 'kind' END, CASE WHEN abs(ax - gx) > 2 THEN 'bbox' END], lambda p: p IS NOT NULL)) AS problem FROM j""",
     "annotations",
 )
 def golden_diff(spark, d):
-    s = A.annotations(spark, d).withColumn("label_id", F.concat_ws("_", "float_id", F.col("i").cast("string")))
-    total = F.col("x") + F.col("y") + F.col("i")
-    g = s.filter(total % 17 != 0).withColumns({"kind": F.when(F.col("y") % 11 == 0, "figure").otherwise(F.col("kind")), "x": F.col("x") + F.col("y") % 4})
-    return golden.label_diff(golden.fingerprint_rows(s.filter(total % 13 != 0)), golden.fingerprint_rows(g))
+    """All annotations against all of them with some names, kinds and places changed."""
+    a = A.annotations(spark, d).withColumn("label_id", F.concat_ws("_", "float_id", F.col("i").cast("string")))
+    g = a.withColumns(
+        {
+            "label_id": F.concat("label_id", F.when(F.col("x") > 900, "b").otherwise("")), "kind": F.when(F.col("y") < 90, "listing").otherwise(F.col("kind")),
+            "x": F.col("x") + F.when(F.col("y") > 800, 3).when(F.col("y") > 600, 2).otherwise(0),
+        }
+    )
+    return golden.label_diff(golden.fingerprint_rows(a), golden.fingerprint_rows(g))
 
 
 @query(
@@ -698,19 +704,6 @@ def candidate_query(spark, d):
     return catalog.candidates(c, "2-HIGH", 1996, 1998, c.filter(F.col("arxiv_id").endswith("7")), 200, 10).select("arxiv_id", "year")
 
 
-@query("SELECT page_id AS paper_id, CAST(g.i - 1 AS INT) AS pos, list_element(regexp_extract_all(html, '(?s)<p>.*?</p>'), g.i) AS hit FROM pages, range(1, 5000) g(i) WHERE g.i <= len(regexp_extract_all(html, '(?s)<p>.*?</p>'))")
-def env_scan(spark, d):
-    return tex.matches(A.table(spark, d, "pages").select(F.col("page_id").alias("paper_id"), F.col("html").alias("text")), "<p>.*?</p>")
-
-
-@query("SELECT conv_id AS paper_id, turn, role || '_' || row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS id FROM conversations")
-def id_counter(spark, d):
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn", "text"))
-    return A.table(spark, d, "conversations").select(F.col("conv_id").alias("paper_id"), "turn", F.concat_ws("_", "role", n.cast("string")).alias("id"))
-
-
 _STATUS = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'ok' WHEN event_type = 'error' THEN 'failed' ELSE 'fetched' END"
 
 
@@ -736,11 +729,4 @@ def stream_rollup(spark, d):
     return state.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def tex_instrument(spark, d):
-    """Labels that rewriting gives to a TeX text built from each order's line items."""
-    f = A.floats(spark, d)
-    body = F.when(F.col("family") == "figure", F.lit("\\includegraphics{a}\n\\caption{A}")).when(F.col("family") == "table", F.lit("\\begin{tabular}{c}1\\end{tabular}")).otherwise(F.lit("\\caption{B}\nstep"))
-    env = F.concat(F.lit("\\begin{"), F.col("family"), F.lit("}\n"), body, F.lit("\n\\end{"), F.col("family"), F.lit("}"))
-    text = f.withColumn("t", env).groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("float_id", "t"))), lambda r: r.t), "\n").alias("text"))
-    return tex.manifest(tex.instrument(text)).select("paper_id", "ord", "label_id", "kind", "float_id", "method", F.array_join("anchor_names", ",").alias("anchors"))
+from galley.plans import library_queries  # noqa: E402, F401  # registers more
