@@ -29,6 +29,19 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+OP4_SQL = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT doc_id, r, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM docs),
+windows AS (SELECT doc_id, r, i, string_agg(w, ' ') OVER f AS k, count(*) OVER f AS n FROM words WINDOW f AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+owners AS (SELECT k, min(doc_id) AS d FROM windows WHERE n = 13 GROUP BY k),
+hits AS (SELECT r, i FROM windows JOIN owners USING (k) WHERE n = 13 AND (d < doc_id OR (doc_id IS NULL AND d IS NOT NULL))),
+marked AS (SELECT w.r, w.i, w.w, max(h.i) OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) IS NOT NULL AS dead FROM words w LEFT JOIN hits h ON h.r = w.r AND h.i = w.i),
+spans AS (SELECT *, dead AND NOT coalesce(lag(dead) OVER (PARTITION BY r ORDER BY i), false) AS begins FROM marked),
+kept AS (SELECT r, count(*) FILTER (dead) AS n_removed, count(*) FILTER (begins) AS n_spans, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (NOT dead), '') AS t FROM spans GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256, coalesce(k.n_spans, 0) AS n_spans FROM docs d LEFT JOIN kept k USING (r)
+"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     make_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -84,4 +97,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL}
