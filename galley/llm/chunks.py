@@ -223,9 +223,9 @@ def pack_bits(bits: np.ndarray) -> bytes:
     return struct.pack("<I", len(bits)) + np.packbits(bits).tobytes()
 
 
-def unpack_bits(body: bytes) -> np.ndarray:
-    (n,) = struct.unpack_from("<I", body)
-    return np.unpackbits(np.frombuffer(body, np.uint8, offset=4), count=n).astype(bool)
+def unpack_bits(body: bytes, at: int = 0) -> np.ndarray:
+    (n,) = struct.unpack_from("<I", body, at)
+    return np.unpackbits(np.frombuffer(body, np.uint8, (n + 7) // 8, at + 4), count=n).astype(bool)
 
 
 def read_bits(answers: dict[int, bytes]) -> np.ndarray:

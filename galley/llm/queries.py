@@ -29,6 +29,21 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+#: Lengths 13, 26, 52, ... of op4: none is longer than the longest texts (some 20,000 words) for the last but one.
+_LENGTHS = [13 << k for k in range(12)]
+
+
+def _again(rows: str) -> str:
+    """Windows of rows (r, i, k) that more than one document has."""
+    return f"SELECT r, i, k FROM ({rows}) QUALIFY min(r) OVER (PARTITION BY k) <> max(r) OVER (PARTITION BY k)"
+
+
+_DOUBLED = ", ".join(
+    ["s13 AS (" + _again("SELECT r, i, md5(k) AS k FROM windows WHERE n = 13") + ")"]
+    + [f"s{2 * n} AS (" + _again(f"SELECT a.r, a.i, md5(a.k || b.k) AS k FROM s{n} a JOIN s{n} b ON b.r = a.r AND b.i = a.i + {n}") + ")" for n in _LENGTHS[:-1]]
+    + ["longest AS (SELECT r, max(n) AS longest FROM (" + " UNION ALL ".join(f"SELECT r, {n} AS n FROM s{n}" for n in _LENGTHS) + ") GROUP BY r)"]
+)
+
 OP4_SQL = r"""
 WITH docs AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 words AS (SELECT doc_id, r, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM docs),
@@ -37,8 +52,9 @@ owners AS (SELECT k, min(doc_id) AS d FROM windows WHERE n = 13 GROUP BY k),
 hits AS (SELECT r, i FROM windows JOIN owners USING (k) WHERE n = 13 AND (d < doc_id OR (doc_id IS NULL AND d IS NOT NULL))),
 marked AS (SELECT w.r, w.i, w.w, max(h.i) OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) IS NOT NULL AS dead FROM words w LEFT JOIN hits h ON h.r = w.r AND h.i = w.i),
 spans AS (SELECT *, dead AND NOT coalesce(lag(dead) OVER (PARTITION BY r ORDER BY i), false) AS begins FROM marked),
-kept AS (SELECT r, count(*) FILTER (dead) AS n_removed, count(*) FILTER (begins) AS n_spans, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (NOT dead), '') AS t FROM spans GROUP BY r)
-SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256, coalesce(k.n_spans, 0) AS n_spans FROM docs d LEFT JOIN kept k USING (r)
+kept AS (SELECT r, count(*) FILTER (dead) AS n_removed, count(*) FILTER (begins) AS n_spans, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (NOT dead), '') AS t FROM spans GROUP BY r),
+""" + _DOUBLED + """
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256, coalesce(k.n_spans, 0) AS n_spans, CAST(coalesce(l.longest, 0) AS BIGINT) AS longest FROM docs d LEFT JOIN kept k USING (r) LEFT JOIN longest l USING (r)
 """
 
 
@@ -60,7 +76,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(_table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
+    return substring_dedup(_table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans", "longest")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

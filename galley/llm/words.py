@@ -123,24 +123,45 @@ def slices(column: pa.Array, size: int = 4 << 20):
         at = stop
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, n: int, second: bool = False) -> tuple[np.ndarray, ...]:
-    """Hashes of all windows of n words inside one document, and the index of their first word. second: between them
-    another, independent hash of each."""
-    if len(hashes) < n:
-        return (np.zeros(0, U), *[np.zeros(0, U)] * second, np.zeros(0, np.int64))
-    inside = np.ones(len(hashes) - n + 1, bool)
+class Rolling:
+    """Hashes of windows of any length over words, by prefix sums. second: by another, independent hash of each word."""
+
+    def __init__(self, hashes: np.ndarray, second: bool = False):
+        hashes = mix(hashes ^ _SECOND) if second else hashes
+        power, self.inverse = _power(len(hashes))
+        self.total = np.zeros(len(hashes) + 1, U)
+        np.cumsum(hashes * power[: len(hashes)], out=self.total[1:])
+
+    def at(self, start: np.ndarray, n: int) -> np.ndarray:
+        return mix((self.total[start + n] - self.total[start]) * self.inverse[start] ^ U(n))
+
+
+def starts(first: np.ndarray, n: int) -> np.ndarray:
+    """The first words of all windows of n words inside one document."""
+    count = int(first[-1]) if len(first) else 0
+    if count < n:
+        return np.zeros(0, np.int64)
+    inside = np.ones(count - n + 1, bool)
     ends = first[1:]
     for back in range(1, n):
         at = ends - back
         at = at[(at >= 0) & (at < len(inside))]
         inside[at] = False
     # a short document clears starts of its predecessor only where those cross its end, too
-    at = np.flatnonzero(inside)
-    power, inverse = _power(len(hashes))
+    return np.flatnonzero(inside)
+
+
+def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of n words inside one document, and the index of their first word."""
+    at = starts(first, n)
+    return (Rolling(hashes).at(at, n) if len(at) else np.zeros(0, U)), at
 
-    def rolled(values: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(values) + 1, U)
-        np.cumsum(values * power[: len(values)], out=total[1:])
-        return mix((total[at + n] - total[at]) * inverse[at] ^ U(n))
 
-    return (rolled(hashes), *[rolled(mix(hashes ^ _SECOND))] * second, at)
+def coded(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the index among them of each. A sort and its order are far faster here than a table of keys."""
+    order = np.argsort(keys)
+    ks = keys[order]
+    new = np.concatenate([[True], ks[1:] != ks[:-1]]) if len(ks) else np.zeros(0, bool)
+    code = np.empty(len(ks), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return ks[new], code

@@ -25,6 +25,34 @@ def brute(rows, n=13):
     return sorted(out, key=str)
 
 
+def longest(rows, n):
+    """By every length in turn: the longest at which a row has a window that another row has."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    out, size = [0] * len(rows), n
+    while True:
+        where = {}
+        for k, w in enumerate(words):
+            for i in range(len(w) - size + 1):
+                where.setdefault(tuple(w[i : i + size]), set()).add(k)
+        again = {k for v in where.values() if len(v) > 1 for k in v}
+        if not again:
+            return sorted(zip((d for d, _ in rows), out), key=str)
+        for k in again:
+            out[k] = size
+        size *= 2
+
+
+def test_longest(spark):
+    rng = __import__("random").Random(2)
+    word = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    shared = [word(n) for n in (13, 25, 26, 60, 104, 300)]
+    rows = [(i, " ".join(word(rng.randrange(30)) + shared[i % 6] + word(rng.randrange(30)))) for i in range(60)]
+    rows += [(100, "a b " * 300), (101, "a b " * 90), (102, " ".join(shared[5][:52] + word(1) + shared[5][53:])), (103, None), (103, "few words")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(((r.doc_id, r.longest) for r in substring_dedup(df).collect()), key=str) == longest(rows, 13)
+    assert sorted(((r.doc_id, r.longest) for r in substring_dedup(df, min_words=5).collect()), key=str) == longest(rows, 5)
+
+
 def got(df):
     return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()), key=str)
 
@@ -53,4 +81,6 @@ def test_one_id_for_all(spark):
 def test_documents(spark):
     p = "/root/testdata/sf0.001/documents.parquet"
     rows = duckdb.sql(f"select doc_id, text from '{p}'").fetchall()
-    assert got(substring_dedup(spark.read.parquet(p), with_text=False)) == brute(rows)
+    out = substring_dedup(spark.read.parquet(p), with_text=False)
+    assert got(out) == brute(rows)
+    assert sorted(((r.doc_id, r.longest) for r in out.collect()), key=str) == longest(rows, 13)
