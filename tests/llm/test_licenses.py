@@ -118,3 +118,92 @@ def test_families_are_told_apart(spark):
     # every notice of the table gives its own licence
     out = scan(spark, ["/* " + t + " */ x = 1" for _, t in TEMPLATES])
     assert [out[i][0] for i in range(len(TEMPLATES))] == [n for n, _ in TEMPLATES]
+
+
+def plain_scan(files, threshold=0.75):
+    """The whole query word by word: every unit and window of every text with every template, and directories by walking up."""
+    import math
+    from collections import Counter
+
+    from galley.llm import licenses as L
+
+    t = L.Templates(L.TEMPLATES, threshold)
+    idf = lambda w: t.idf.get(w, t.other)
+    words = lambda text: [w for w in re.split("[^a-z0-9]+", text) if w and w not in L.COMMON]
+    norm = lambda ws: math.sqrt(sum((c * idf(w)) ** 2 for w, c in Counter(ws).items()))
+
+    def scores(text):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        units = {*low.split("\n"), *re.split(r"\n[ \t\r]*\n", low), *re.split(rf"\n{L.MARKS}\n", low), low}
+        for u in units:
+            ws = Counter(words(u))
+            for k, v in enumerate(t.vectors):
+                if ws and len(set(ws) & set(v)) > 1:
+                    yield round(sum(c * idf(w) * v.get(w, 0) for w, c in ws.items()) / norm(list(ws.elements())), 6), k, u == low
+        seq = words(re.sub(L.OPENERS, " ", low))
+        for k, v in enumerate(t.vectors):
+            at = [(i, w, i * L.UNIT // t.sizes[k]) for i, w in enumerate(seq) if w in v]
+            for i, _, place in at:
+                for reach in (L.UNIT - 500, L.UNIT * 3 // 2):
+                    inside = [(j, w) for j, w, p in at if place <= p <= place + reach]
+                    if len({w for _, w in inside}) > 1:
+                        last = max(j for j, _ in inside)
+                        yield round(sum(idf(w) * v[w] for _, w in inside) / norm(seq[i : last + 1]), 6), k, False
+
+    own = {}
+    for path, text in files:
+        good = [(L.WEAK.get(L.TEMPLATES[k][1], 0), -s, L.TEMPLATES[k][0], whole) for s, k, whole in scores(text) if s >= threshold]
+        own[path] = (*min(g[:3] for g in good), any(g[3] for g in good)) if good else None
+    governed = {}
+    for path, found in own.items():
+        folder, _, name = path.rpartition("/")
+        if found and (re.match(L.FILE_NAMES, name) or found[3]):
+            governed[folder] = min(governed.get(folder, (1.0,)), (found[1], found[2]))
+    out = {}
+    for path, found in own.items():
+        folder = path.rpartition("/")[0]
+        if found:
+            out[path] = (found[2], -found[1], "own", None)
+            continue
+        while folder not in governed and folder:
+            folder = folder.rpartition("/")[0]
+        out[path] = (governed[folder][1], -governed[folder][0], "inherited", folder) if folder in governed else (None, None, None, None)
+    return out
+
+
+def test_query_is_plain_scan(spark):
+    """Directories with licence files at several depths, headers in comments, notices in prose, and files without any."""
+    import random
+
+    from galley.llm import licenses as L
+
+    rng = random.Random(6)
+    filler = "alpha beta gamma delta value return software license version copy notice public source the of and".split()
+    prose = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    long_ones = [x for x in L.TEMPLATES if len(x[1].split()) > 12]
+    files = [
+        ("src/LICENSE", "MIT License\n\n" + L.TEMPLATES[3][1]), ("lib/COPYING", dict((n, x) for n, x in L.TEMPLATES if n == "GPL-3.0")["GPL-3.0"]), ("lib/deep/er/a.txt", prose(30)),
+        ("lib/b.txt", None), ("lib/LICENSE.txt", ""), ("other/x.c", "nothing"), ("third/NOTICE", "All rights reserved."), ("third/sub/y.c", "int main"), ("top.c", prose(5)),
+        ("mixed/a.c", "/* This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. */\nAll rights reserved.\n"),
+    ]
+    for i in range(40):
+        name, text = rng.choice(L.TEMPLATES if i % 2 else long_ones)
+        ws = text.split()
+        if i % 4 == 0:
+            ws = [w for w in ws if rng.random() > 0.15]
+        body = " ".join(ws)
+        kind = i % 5
+        if kind == 0:
+            body = "/*\n * " + "\n * ".join(" ".join(ws[k : k + 8]) for k in range(0, len(ws), 8)) + "\n */\n" + prose(20)
+        elif kind == 1:
+            body = prose(12) + " " + body + " " + prose(12)
+        elif kind == 2:
+            body = prose(10) + "\n\n" + body + "\n\n" + prose(10)
+        elif kind == 3:
+            body = prose(25)
+        files.append((f"src/d{i % 7}/{'LICENSE' if i % 10 == 4 else f'f{i}.c'}", body))
+    want = plain_scan(dict(files).items())
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(dict(files).items())], "doc_id bigint, path string, text string")
+    got = {r.path: (r.license, r.score, r.origin, r.license_dir) for r in license_scan(df, df.path).collect()}
+    assert {k: v for k, v in got.items() if v != want[k]} == {}
+    assert {v[2] for v in got.values()} == {"own", "inherited", None} and got["mixed/a.c"][0] == "MPL-2.0"

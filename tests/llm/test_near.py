@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from galley.llm.components import connected_components
@@ -124,8 +125,9 @@ def test_common_weights():
     assert np.allclose(got, want, rtol=1e-5)
 
 
-def test_documents(spark):
-    p = "/root/testdata/sf0.001/documents.parquet"
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_documents(spark, sf):
+    p = f"/root/testdata/{sf}/documents.parquet"
     assert classes(near_dedup(spark.read.parquet(p)).collect()) == brute(duckdb.sql(f"select doc_id, text from '{p}'").fetchall())
 
 
