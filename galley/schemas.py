@@ -17,7 +17,7 @@ YEAR_BUCKETS = ((2023, 2026), (2019, 2022), (2014, 2018), (2007, 2013))
 SPLIT_DIRS = {"train": "train", "val": "valid", "test": "test"}
 LABEL_RICH = {"table": ("stat", "econ", "q-fin", "q-bio", "eess"), "algorithm": ("cs",)}
 
-_PLAIN = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+_PLAIN = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "binary": T.BinaryType()}
 
 
 def _parts(text: str) -> list[str]:

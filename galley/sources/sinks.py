@@ -100,3 +100,17 @@ def message_card(title: str, lines: list[str], keyword: str = "") -> str:
     """A message document for a webhook; sending it is up to the caller."""
     head = f"{keyword} {title}".strip() if keyword not in title else title
     return json.dumps({"title": head, "elements": [{"tag": "markdown", "content": x} for x in lines]}, ensure_ascii=False)
+
+
+def golden_documents(fingerprints: DataFrame) -> DataFrame:
+    """(paper_id, document) of golden.fingerprints: what corpus.read_golden reads."""
+    labels = F.transform(F.coalesce("labels", F.array().cast("array<struct<page:int,kind:string,label_id:string,bbox:array<int>>>")), lambda r: F.struct(r.label_id.alias("label_id"), r.kind.alias("kind"), r.page.alias("page"), r.bbox.alias("bbox")))
+    return fingerprints.select("paper_id", F.to_json(F.struct("categories", F.col("num_pages").cast("int").alias("num_pages"), labels.alias("labels"))).alias("document"))
+
+
+def run_documents(outcomes: DataFrame) -> DataFrame:
+    """One row (document): the outcome of each paper of one run, and the totals of its ok papers. A run is a batch of bounded size."""
+    good = F.col("ok")
+    totals = F.struct(F.count(F.lit(1)).alias("papers"), F.count_if(good).alias("papers_ok"), F.coalesce(F.sum(F.when(good, F.col("labels"))), F.lit(0)).alias("labels"))
+    papers = F.array_sort(F.collect_list(F.struct("paper_id", "ok", "reason", "labels")))
+    return outcomes.agg(papers.alias("papers"), totals.alias("totals")).select(F.to_json(F.struct("papers", "totals")).alias("document"))
