@@ -13,90 +13,126 @@ from pyspark.sql import functions as F
 from galley.functions.geometry import area, clip, pixels, pt, text_block
 
 OUT = ["paper_id", "ord", "label_id", "kind", "page", "x0", "y0", "x1", "y1"]
+_CAP_ENDS = ("alx@cap@top@", "alx@cap@bot@")
 
 
-def _anchor(anchors: DataFrame, prefix: str) -> DataFrame:
-    return anchors.select("paper_id", F.col("name").alias(f"{prefix}_name"), F.col("posx_sp").alias(f"{prefix}_x"), F.col("posy_sp").alias(f"{prefix}_y"), F.col("abspage").alias(f"{prefix}_page"))
-
-
-def wraps(manifest: DataFrame, anchors: DataFrame, boxes: DataFrame, pages: DataFrame) -> DataFrame:
-    """Boxes of wrapped objects: two anchors on one page and the measured size. Where the anchors'
-    distance differs from the width by over 5 per cent, the width holds."""
-    m = manifest.filter((F.col("method") == "wrap") & (F.size("anchor_names") == 2)).withColumns({"pre_name": F.col("anchor_names")[0], "post_name": F.col("anchor_names")[1]})
-    j = (
-        m.join(_anchor(anchors, "pre"), ["paper_id", "pre_name"]).join(_anchor(anchors, "post"), ["paper_id", "post_name"]).filter("pre_page = post_page")
-        .join(boxes.select("paper_id", F.col("box_id").alias("label_id"), "width_sp", "height_sp", "depth_sp"), ["paper_id", "label_id"])
-        .withColumn("page", F.col("pre_page")).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+def placed(manifest: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Labels with their anchors that exist: ``found``, an array of (i, name, x, y, page), i the place in anchor_names; and ``ends``,
+    those of the caption's own hooks. Every name is looked up in one join, and a paper's label is put together again by one exchange."""
+    n = F.size("anchor_names")
+    names = F.concat(
+        F.transform("anchor_names", lambda x, i: F.struct(i.alias("i"), x.alias("name"))),
+        *[F.array(F.struct(F.lit(-1).alias("i"), F.concat(F.lit(p), "label_id").alias("name"))) for p in _CAP_ENDS],
     )
-    a, b = pt(F.col("pre_x")), pt(F.col("post_x"))
-    base = F.col("height_pt") - pt(F.col("pre_y"))
+    wanted = manifest.filter(n > 0).withColumn("n_names", n).select("*", F.explode(names).alias("want"))
+    at = anchors.select("paper_id", F.col("name").alias("at_name"), F.col("posx_sp").alias("x"), F.col("posy_sp").alias("y"), F.col("abspage").alias("page"))
+    j = wanted.join(at, (wanted.paper_id == at.paper_id) & (F.col("want.name") == F.col("at_name"))).drop(at.paper_id)
+    spot = F.struct(F.col("want.i").alias("i"), F.col("at_name").alias("name"), "x", "y", "page")
+    label = ["label_id", "kind", "float_id", "method", "use_textblock_x", "n_names"]
+    grouped = j.groupBy("paper_id", "ord").agg(*[F.first(c).alias(c) for c in label], F.array_sort(F.collect_list(spot)).alias("all"))
+    return grouped.select("paper_id", "ord", *label, F.filter("all", lambda s: s.i >= 0).alias("found"), F.filter("all", lambda s: s.i < 0).alias("ends"))
+
+
+def _wraps(labels: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Wrapped objects whose two anchors lie on one page, with x0, x1 and y of the baseline, sizes in points."""
+    pre, post = F.element_at("found", 1), F.element_at("found", 2)
+    m = labels.filter((F.col("method") == "wrap") & (F.col("n_names") == 2) & (F.size("found") == 2)).filter(pre.page == post.page)
+    j = m.join(boxes.select("paper_id", F.col("box_id").alias("label_id"), "width_sp", "height_sp", "depth_sp"), ["paper_id", "label_id"])
+    a, b = pt(pre.x), pt(post.x)
     left, right, width = F.least(a, b), F.greatest(a, b), pt(F.col("width_sp"))
     off = (width > 0) & (F.abs(right - left - width) / F.greatest(width, F.lit(1.0)) > 0.05)
+    down = pt(pre.y)
     return j.select(
-        "paper_id", "ord", "label_id", "kind", "page", left.alias("x0"), (base - pt(F.col("height_sp"))).alias("y0"),
-        F.when(off, left + width).otherwise(right).alias("x1"), (base + pt(F.col("depth_sp"))).alias("y1"),
+        "paper_id", "ord", "label_id", "kind", "float_id", "ends", pre.page.alias("page"), left.alias("x0"), F.when(off, left + width).otherwise(right).alias("x1"),
+        (-down - pt(F.col("height_sp"))).alias("above"), (-down + pt(F.col("depth_sp"))).alias("below"),
     )
 
 
+def wraps(manifest: DataFrame, anchors: DataFrame, boxes: DataFrame, pages: DataFrame) -> DataFrame:
+    """Boxes of wrapped objects: two anchors on one page and the measured size. Where the anchors'
+    distance differs from the width by over 5 per cent, the width holds."""
+    j = _wraps(placed(manifest, anchors), boxes).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+    return j.select("paper_id", "ord", "label_id", "kind", "page", "x0", (F.col("height_pt") + F.col("above")).alias("y0"), "x1", (F.col("height_pt") + F.col("below")).alias("y1"))
+
+
+def _pairs(labels: DataFrame) -> DataFrame:
+    """Span labels with the first (top, bot) pair of anchors that both exist."""
+    m = labels.filter((F.col("method") == "span") & (F.col("n_names") % 2 == 0))
+    of = lambda half: F.filter("found", lambda s: s.i % 2 == half)
+    both = F.flatten(F.transform(of(0), lambda t: F.transform(F.filter(of(1), lambda b: b.i == t.i + 1), lambda b: F.struct(t.alias("top"), b.alias("bot")))))
+    return m.withColumn("pair", F.get(both, F.lit(0))).filter("pair is not null").select("*", "pair.top", "pair.bot").drop("pair")
+
+
 def chosen_pairs(manifest: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Span labels with the first (top, bottom) pair of anchors that both exist."""
-    m = manifest.filter((F.col("method") == "span") & (F.size("anchor_names") % 2 == 0) & (F.size("anchor_names") > 0))
-    pairs = m.select("*", F.explode(F.sequence(F.lit(0), (F.size("anchor_names") / 2 - 1).cast("int"))).alias("pair"))
-    pairs = pairs.withColumns({"top_name": F.element_at("anchor_names", 2 * F.col("pair") + 1), "bot_name": F.element_at("anchor_names", 2 * F.col("pair") + 2)})
-    j = pairs.join(_anchor(anchors, "top"), ["paper_id", "top_name"]).join(_anchor(anchors, "bot"), ["paper_id", "bot_name"])
-    first = F.row_number().over(Window.partitionBy("paper_id", "ord").orderBy("pair"))
-    return j.withColumn("_first", first).filter("_first = 1").drop("_first")
+    """Span labels with the names of the first (top, bottom) pair of anchors that both exist."""
+    return _pairs(placed(manifest, anchors)).select("paper_id", "ord", "label_id", "kind", F.col("top.name").alias("top_name"), F.col("bot.name").alias("bot_name"))
 
 
-def spans(manifest: DataFrame, anchors: DataFrame, marks: DataFrame, page_info: DataFrame, pages: DataFrame) -> DataFrame:
-    """Boxes of spans, one a page they touch. x comes from the text block for labels that ask for it
-    or cross pages, else from the top anchor and the width of its mark, the column or the text."""
+def _spans(labels: DataFrame, marks: DataFrame, page_info: DataFrame) -> DataFrame:
+    """Spans, one row a page they touch: x0, x1, and y distances from the top (fixed) or up from the bottom of the page (above, below)."""
     t = text_block()
     info = page_info.select("paper_id", *[t[n].alias(n) for n in ("text_left", "text_right", "text_top", "text_bot", "columnwidth", "textwidth")])
     mark = marks.select("paper_id", F.col("mark_id").alias("top_name"), F.col("hsize_sp").alias("mark_sp"))
-    lo, hi = F.least("top_page", "bot_page"), F.greatest("top_page", "bot_page")
+    top_page, bot_page = F.col("top.page"), F.col("bot.page")
     j = (
-        chosen_pairs(manifest, anchors).join(mark, ["paper_id", "top_name"], "left").join(info, "paper_id")
-        .withColumn("crosses", F.col("top_page") != F.col("bot_page")).withColumn("page", F.explode(F.sequence(lo, hi)))
-        .join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+        _pairs(labels).withColumn("top_name", F.col("top.name")).join(mark, ["paper_id", "top_name"], "left").join(info, "paper_id")
+        .withColumn("crosses", top_page != bot_page).withColumn("page", F.explode(F.sequence(F.least(top_page, bot_page), F.greatest(top_page, bot_page))))
     )
     column = F.when(F.col("columnwidth") != 0, F.col("columnwidth")).otherwise(F.col("textwidth"))
     width = F.when(F.col("mark_sp") > 0, pt(F.col("mark_sp"))).otherwise(column)
     block = F.col("use_textblock_x") | F.col("crosses")
-    x0 = F.when(block, F.col("text_left")).otherwise(pt(F.col("top_x")))
-    top, bot = F.col("height_pt") - pt(F.col("top_y")), F.col("height_pt") - pt(F.col("bot_y"))
-    at_top, at_bot = F.col("page") == F.col("top_page"), F.col("page") == F.col("bot_page")
-    upper, lower = F.greatest(F.lit(0.0), F.col("text_top")), F.least("text_bot", "height_pt")
+    x0 = F.when(block, F.col("text_left")).otherwise(pt(F.col("top.x")))
+    ends = F.struct(
+        (F.col("page") == top_page).alias("at_top"), (F.col("page") == bot_page).alias("at_bot"), pt(F.col("top.y")).alias("top"), pt(F.col("bot.y")).alias("bot"), "text_top", "text_bot"
+    )
+    return j.select("paper_id", "ord", "label_id", "kind", "float_id", "ends", "page", x0.alias("x0"), F.when(block, F.col("text_right")).otherwise(x0 + width).alias("x1"), ends.alias("span"))
+
+
+def _span_edges() -> tuple:
+    s, height = F.col("span"), F.col("height_pt")
+    top, bot = height - s.top, height - s.bot
+    upper, lower = F.greatest(F.lit(0.0), s.text_top), F.least(s.text_bot, height)
     # the anchors' own pages are compared, also where the bottom lies on the earlier one
-    y0 = F.when(at_top & at_bot, F.least(top, bot)).when(at_top, top).otherwise(upper)
-    y1 = F.when(at_top & at_bot, F.greatest(top, bot)).when(at_top, lower).when(at_bot, bot).otherwise(lower)
-    return j.select("paper_id", "ord", "label_id", "kind", "page", x0.alias("x0"), y0.alias("y0"), F.when(block, F.col("text_right")).otherwise(x0 + width).alias("x1"), y1.alias("y1"))
+    y0 = F.when(s.at_top & s.at_bot, F.least(top, bot)).when(s.at_top, top).otherwise(upper)
+    y1 = F.when(s.at_top & s.at_bot, F.greatest(top, bot)).when(s.at_top, lower).when(s.at_bot, bot).otherwise(lower)
+    return y0, y1
+
+
+def spans(manifest: DataFrame, anchors: DataFrame, marks: DataFrame, page_info: DataFrame, pages: DataFrame) -> DataFrame:
+    """Boxes of spans, one a page they touch. x comes from the text block for labels that ask for it
+    or cross pages, else from the top anchor and the width of its mark, the column or the text."""
+    j = _spans(placed(manifest, anchors), marks, page_info).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+    y0, y1 = _span_edges()
+    return j.select("paper_id", "ord", "label_id", "kind", "page", "x0", y0.alias("y0"), "x1", y1.alias("y1"))
 
 
 def resolve_labels(manifest: DataFrame, anchors: DataFrame, boxes: DataFrame, marks: DataFrame, page_info: DataFrame, pages: DataFrame) -> DataFrame:
-    return wraps(manifest, anchors, boxes, pages).select(OUT).unionByName(spans(manifest, anchors, marks, page_info, pages).select(OUT))
+    """Boxes of all labels (OUT), with what union_with_bodies needs of a label: float_id, and cap_y0 and cap_y1 of its own hooks on its page."""
+    labels = placed(manifest, anchors)
+    spans_ = _spans(labels, marks, page_info)
+    wraps_ = _wraps(labels, boxes)
+    both = wraps_.withColumn("span", F.lit(None).cast(spans_.schema["span"].dataType)).unionByName(spans_.withColumns({"above": F.lit(None).cast("double"), "below": F.lit(None).cast("double")}))
+    j = both.join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+    y0, y1 = _span_edges()
+    own = F.transform(F.filter("ends", lambda e: e.page == F.col("page")), lambda e: F.col("height_pt") - pt(e.y))
+    return j.select(
+        "paper_id", "ord", "label_id", "kind", "page", "x0", F.coalesce(F.col("height_pt") + F.col("above"), y0).alias("y0"), "x1", F.coalesce(F.col("height_pt") + F.col("below"), y1).alias("y1"),
+        "float_id", F.array_min(own).alias("cap_y0"), F.array_max(own).alias("cap_y1"),
+    )
 
 
-def union_with_bodies(labels: DataFrame, manifest: DataFrame, anchors: DataFrame, pages: DataFrame) -> DataFrame:
-    """Captions widened over the bodies of their float on their page, and over the caption's own anchors.
-    Of a float with captions on several pages (or several captions) only the last is widened."""
-    m = manifest.select("paper_id", "label_id", "float_id")
-    own = labels.join(m, ["paper_id", "label_id"], "left")
+def union_with_bodies(labels: DataFrame) -> DataFrame:
+    """Captions widened over the bodies of their float on their page, and over the caption's own anchors. labels: as from resolve_labels.
+    Of a float with captions on several pages (or several captions) only the last is widened. A float's labels meet once."""
     is_cap = F.col("kind").endswith("_cap") & F.col("float_id").isNotNull()
-    latest = F.row_number().over(Window.partitionBy("paper_id", "float_id", is_cap).orderBy(F.desc("ord"), F.desc("page")))
-    own = own.withColumn("last_cap", is_cap & (latest == 1))
-    bodies = own.filter(~F.col("kind").endswith("_cap") & F.col("float_id").isNotNull()).groupBy("paper_id", "float_id", "page").agg(
-        F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1")
-    )
-    ends = (
-        anchors.filter(F.col("name").rlike("^alx@cap@(top|bot)@")).withColumn("label_id", F.regexp_replace("name", "^alx@cap@(top|bot)@", "")).withColumnRenamed("abspage", "page")
-        .join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"]).withColumn("y", F.col("height_pt") - pt(F.col("posy_sp")))
-        .groupBy("paper_id", "label_id", "page").agg(F.min("y").alias("cy0"), F.max("y").alias("cy1"))
-    )
-    j = own.join(bodies, ["paper_id", "float_id", "page"], "left").join(ends, ["paper_id", "label_id", "page"], "left")
+    is_body = ~F.col("kind").endswith("_cap") & F.col("float_id").isNotNull()
+    of_float, of_page = Window.partitionBy("paper_id", "float_id"), Window.partitionBy("paper_id", "float_id", "page")
+    last = F.max(F.when(is_cap, F.struct("ord", "page"))).over(of_float)
+    body = lambda f, v: f(F.when(is_body, F.col(v))).over(of_page)
+    own = labels.withColumns({"last_cap": is_cap & (F.struct("ord", "page") == last), "bx0": body(F.min, "x0"), "by0": body(F.min, "y0"), "bx1": body(F.max, "x1"), "by1": body(F.max, "y1")})
     wide = lambda f, v, *more: F.when(F.col("last_cap"), f(F.col(v), *[F.coalesce(F.col(x), F.col(v)) for x in more])).otherwise(F.col(v)).alias(v)
-    return j.select(
-        "paper_id", "ord", "label_id", "kind", "page", wide(F.least, "x0", "bx0"), wide(F.least, "y0", "by0", "cy0"), wide(F.greatest, "x1", "bx1"), wide(F.greatest, "y1", "by1", "cy1")
+    return own.select(
+        "paper_id", "ord", "label_id", "kind", "page", wide(F.least, "x0", "bx0"), wide(F.least, "y0", "by0", "cap_y0"), wide(F.greatest, "x1", "bx1"), wide(F.greatest, "y1", "by1", "cap_y1")
     )
 
 

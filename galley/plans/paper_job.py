@@ -38,7 +38,7 @@ def build(files: DataFrame, run: Callable[[str, str, str], dict], dpi: int = 200
     pages = connect.page_sizes(compiled)
     manifest = tex.manifest(marked)
     boxes = resolve.resolve_labels(manifest, out["anchors"], out["boxes"], out["marks"], out["page_info"], pages)
-    labels = keep(resolve.cleaned(resolve.union_with_bodies(boxes, manifest, out["anchors"], pages), pages), "labels")
+    labels = keep(resolve.cleaned(resolve.union_with_bodies(boxes), pages), "labels")
     annotations, categories, images = resolve.coco_annotations(labels, dpi), resolve.coco_categories(labels), connect.rasters(pages, dpi)
     found = labels.groupBy("paper_id").agg(F.count(F.lit(1)).alias("labels"))
     outcomes = (

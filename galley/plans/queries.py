@@ -597,7 +597,7 @@ def _united(spark, d):
     r = _resolve_input(spark, d)
     r["manifest"] = r["manifest"].withColumn("ord", F.col("label_id"))  # an order that SQL has, too
     lab = resolve.resolve_labels(r["manifest"], r["anchors"], r["boxes"], r["marks"], r["page_info"], r["pages"])
-    return resolve.union_with_bodies(lab, r["manifest"], r["anchors"], r["pages"]), r["pages"]
+    return resolve.union_with_bodies(lab), r["pages"]
 
 
 @query(f"WITH {_UNION} SELECT paper_id, label_id, kind, page, {_ROUND} FROM wide", "floats")

@@ -54,7 +54,8 @@ def test_resolve(spark, parsed):
         ],
     )
     pages = spark.createDataFrame([("p", n, 600.0, 800.0) for n in (1, 2, 3)], "paper_id string, page int, width_pt double, height_pt double")
-    out = resolve.resolve_labels(m, *[parsed[k] for k in ("anchors", "boxes", "marks", "page_info")], pages).collect()
+    found = resolve.resolve_labels(m, *[parsed[k] for k in ("anchors", "boxes", "marks", "page_info")], pages)
+    out = found.collect()
     by = {(r.label_id, r.page): r for r in out}
     assert sorted(by) == [("back", 1), ("back", 2), ("back", 3), ("fig_1", 2), ("long", 1), ("long", 2), ("long", 3)]
     pt = lambda sp: sp / SP_PER_PT
@@ -68,7 +69,7 @@ def test_resolve(spark, parsed):
     assert (by["long", 3].y0, by["long", 3].y1) == pytest.approx((top, 800 - pt(10000000)))
     # the top anchor on the later page: its page goes down to the text's end, the earlier one from its top
     assert (by["back", 3].y0, by["back", 1].y1) == pytest.approx((800 - pt(10000000), 800 - pt(40000000)))
-    cleaned = resolve.cleaned(spark.createDataFrame(out), pages)
+    cleaned = resolve.cleaned(found, pages)
     assert cleaned.filter("x1 > 600 or y1 > 800 or x0 < 0").count() == 0
     coco = resolve.coco_annotations(cleaned).orderBy("id").collect()
     assert [r.id for r in coco] == list(range(1, len(coco) + 1))
@@ -76,15 +77,24 @@ def test_resolve(spark, parsed):
     assert cats == {n: i for i, n in enumerate(sorted(cats))}
 
 
+def test_caption_hooks_are_found(spark, parsed):
+    m = labels(spark, [("p", 0, "c", "table_cap", "f", ["top", "top"], "span", False)])
+    hooks = spark.createDataFrame([("p", "alx@cap@bot@c", 0, int(750 * SP_PER_PT), 1), ("p", "alx@cap@top@c", 0, 0, 2), ("p", "alx@cap@top@other", 0, 0, 1)], "paper_id string, name string, posx_sp bigint, posy_sp bigint, abspage bigint")
+    pages = spark.createDataFrame([("p", n, 600.0, 800.0) for n in (1, 2)], "paper_id string, page int, width_pt double, height_pt double")
+    (r,) = resolve.resolve_labels(m, parsed["anchors"].unionByName(hooks), parsed["boxes"], parsed["marks"], parsed["page_info"], pages).collect()
+    assert (r.page, round(r.cap_y0, 3), round(r.cap_y1, 3), r.float_id) == (1, 50, 50, "f")
+
+
 def test_union_widens_the_last_caption_only(spark):
     lab = spark.createDataFrame(
-        [("p", 0, "c", "table_cap", 1, 10.0, 10.0, 20.0, 20.0), ("p", 0, "c", "table_cap", 2, 10.0, 10.0, 20.0, 20.0), ("p", 1, "b", "table", 2, 5.0, 12.0, 30.0, 15.0), ("p", 2, "b2", "table", 1, 0.0, 0.0, 99.0, 99.0), ("p", 3, "l", "listing", 2, 1.0, 1.0, 2.0, 2.0)],
-        "paper_id string, ord int, label_id string, kind string, page int, x0 double, y0 double, x1 double, y1 double",
-    )
-    m = labels(spark, [("p", 0, "c", "table_cap", "f", [], "span", False), ("p", 1, "b", "table", "f", [], "wrap", False), ("p", 2, "b2", "table", "f", [], "wrap", False), ("p", 3, "l", "listing", None, [], "span", False)])
-    anchors = spark.createDataFrame([("p", "alx@cap@bot@c", 0, int(750 * SP_PER_PT), 2), ("p", "alx@cap@top@c", 0, 0, 1)], "paper_id string, name string, posx_sp bigint, posy_sp bigint, abspage int")
-    pages = spark.createDataFrame([("p", n, 600.0, 800.0) for n in (1, 2)], "paper_id string, page int, width_pt double, height_pt double")
-    out = {(r.label_id, r.page): (r.x0, r.y0, r.x1, round(r.y1, 3)) for r in resolve.union_with_bodies(lab, m, anchors, pages).collect()}
+        [
+            ("p", 0, "c", "table_cap", 1, 10.0, 10.0, 20.0, 20.0, "f", 800.0, 800.0), ("p", 0, "c", "table_cap", 2, 10.0, 10.0, 20.0, 20.0, "f", 50.0, 50.0), ("p", 1, "b", "table", 2, 5.0, 12.0, 30.0, 15.0, "f", None, None),
+            ("p", 2, "b2", "table", 1, 0.0, 0.0, 99.0, 99.0, "f", None, None), ("p", 3, "l", "listing", 2, 1.0, 1.0, 2.0, 2.0, None, None, None), ("p", 4, "lone", "listing_cap", 2, 1.0, 1.0, 2.0, 2.0, None, 0.0, 9.0),
+        ],
+        "paper_id string, ord int, label_id string, kind string, page int, x0 double, y0 double, x1 double, y1 double, float_id string, cap_y0 double, cap_y1 double",
+    )
+    out = {(r.label_id, r.page): (r.x0, r.y0, r.x1, round(r.y1, 3)) for r in resolve.union_with_bodies(lab).collect()}
+    assert out.pop(("lone", 2)) == (1, 1, 2, 2)
     assert out["c", 1] == (10, 10, 20, 20) and out["c", 2] == (5, 10, 30, 50) and out["l", 2] == (1, 1, 2, 2) and len(out) == 5
 
 
