@@ -18,6 +18,8 @@ root are in one class already. (3) A bucket that has several roots left is dealt
 most frequent root are queries; each block of them meets each block of the bucket once, as a matrix product, and links of different roots
 come back, at most one for each pair of roots and block. No pair becomes a row. Links are joined to classes by alternating large and small stars.
 
+Shingles are told apart by 48 bits: near 10^13 different ones some share a key, whose df is then too high by one or two.
+
 Texts of fewer than five words have no shingles, so only equal words join them. Very long texts are one node each, in one chunk.
 Null counts as empty. A null doc_id is the last choice. Repeated rows are members like others; of equal doc_ids the first row stays. An empty
 table gives an empty result. Only the two named columns are read, so others may have any name.

@@ -113,6 +113,30 @@ def test_large_group(spark, monkeypatch):
     assert 500 < max(map(len, got)) < 1100
 
 
+def test_chunks_of_very_many_documents():
+    """Keys and documents that don't fit into 64 bits together are sorted by both."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from galley.llm.near import shingle_pairs
+    from galley.llm.substring import _in_documents
+    from galley.llm.words import Words
+
+    texts = [f"a b c d e f w{i % 7}" for i in range(70_000)]
+    words = Words.of(pa.array(texts))
+    key, doc, tf = shingle_pairs(SimpleNamespace(ids=np.arange(len(texts))), words, 5)
+    assert len(key) == 3 * len(texts) and (tf == 1).all() and (np.lexsort((doc, key)) == np.arange(len(key))).all()
+    few = Words.of(pa.array(texts[:50]))
+    small = shingle_pairs(SimpleNamespace(ids=np.arange(50)), few, 5)
+    assert sorted(zip(key[doc < 50].tolist(), doc[doc < 50].tolist())) == list(zip(small[0].tolist(), small[1].tolist()))
+    rng = np.random.default_rng(3)
+    k, d = rng.integers(0, 500, 4000).astype(np.uint64), np.sort(rng.integers(0, 900, 4000))
+    a, b = _in_documents(k, d, 900), _in_documents(k, d, 1 << 20)
+    assert a[0].tolist() == b[0].tolist() == sorted(set(k.tolist())) and a[1].tolist() == b[1].tolist()
+    assert a[1].tolist() == [min(2, len({y for x, y in zip(k.tolist(), d.tolist()) if x == v})) for v in a[0].tolist()]
+
+
 def test_common_weights():
     rng = np.random.default_rng(4)
     vectors = []
