@@ -16,7 +16,6 @@ chunk. The doc_id is only data, with a flag for null. A document is never split,
 
 from __future__ import annotations
 
-import ctypes
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from galley.llm.quotient import bucket_bits
 from galley.llm.scratch import shuffle_partitions
-from galley.llm.words import mix, text_buffers
+from galley.llm.words import mix, text_buffers, trim
 
 STORE = "chunk int, ids binary, nulls binary, sizes binary, body binary"
 BLOCK = "bucket int, chunk int, body binary"
@@ -77,15 +76,6 @@ class Chunk:
         return pa.array(self.ids, mask=self.nulls)
 
 
-def trim() -> None:
-    """Give memory that a chunk or bucket used back to the system: a worker lives on for other tasks."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # not glibc
-        pass
-
-
 def trimmed(table: pa.Table) -> pa.Table:
     trim()
     return table

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.words import Words, mix, slices
+from galley.llm.words import Words, mix, slices, trim
 
 U = np.uint64
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -228,6 +228,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     continue
                 doc, item, score, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), item_ids.take(pa.array(item)), *(pa.array(x) for x in (score, first, last))], names=["doc_id", "item_id", "score", "start_word", "end_word"])
+                trim()
 
         found = text.mapInArrow(run, SCHEMA)
         out = found if out is None else out.unionByName(found)
@@ -255,6 +256,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 for begin, part in slices(b.column(at)):
                     good[begin + find_passages(Words.of(part, lower=True), items, table, threshold)[0]] = False
                 yield b.filter(pa.array(good))
+                trim()
 
         out = out.mapInArrow(run, docs.schema)
     return out

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from galley.llm.words import Words
+from galley.llm.words import Words, trim
 
 U = np.uint64
 END_ID = 2
@@ -93,7 +93,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _slices(column: pa.Array, size: int = 8 << 20) -> Iterator[tuple[int, pa.Array]]:
+def _slices(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Runs of whole rows of about size bytes."""
     sizes = np.cumsum([x or 0 for x in pc.binary_length(column).to_pylist()])
     at = 0
@@ -159,5 +159,6 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     ],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"],
                 )
+            trim()
 
     return docs.select(docs[id_col].cast("bigint"), docs[text_col]).mapInArrow(run, SCHEMA)

@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a row group: a writer holds one in memory, and texts in full fill it.
+ROW_GROUP = 32 << 20
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -51,7 +53,7 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     executor costs only its own tasks."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/galley-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

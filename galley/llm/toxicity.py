@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.words import Words, slices
+from galley.llm.words import Words, slices, trim
 
 U = np.uint64
 FEATURES = 400
@@ -207,5 +207,6 @@ def drop_toxic(docs: DataFrame, chain: Chain, text_col: str = "text", threshold:
         for b in batches:
             doc, feature = _presence(b.column(at), chain.wanted)
             yield b.filter(pa.array(chain.probabilities(doc, feature, b.num_rows)[:, -1] < threshold))
+            trim()
 
     return docs.mapInArrow(run, docs.schema)

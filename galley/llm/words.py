@@ -8,6 +8,8 @@ text itself is bounded by the block and eight bytes a word, however long a docum
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +48,15 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["i"]
 
 
+def trim() -> None:
+    """Give memory that is free now back to the system: a worker lives on for other tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and n+1 offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
