@@ -16,14 +16,14 @@ OUT = ["paper_id", "ord", "label_id", "kind", "page", "x0", "y0", "x1", "y1"]
 _CAP_ENDS = ("alx@cap@top@", "alx@cap@bot@")
 
 
-def placed(manifest: DataFrame, anchors: DataFrame) -> DataFrame:
+def placed(manifest: DataFrame, anchors: DataFrame, hooks: bool = False) -> DataFrame:
     """Labels with their anchors that exist: ``found``, an array of (i, name, x, y, page), i the place in anchor_names; and ``ends``,
-    those of the caption's own hooks. Every name is looked up in one join, and a paper's label is put together again by one exchange."""
+    with hooks those of a caption's own hooks. Every name is looked up in one join, and a label is put together again by one exchange."""
     n = F.size("anchor_names")
-    names = F.concat(
-        F.transform("anchor_names", lambda x, i: F.struct(i.alias("i"), x.alias("name"))),
-        *[F.array(F.struct(F.lit(-1).alias("i"), F.concat(F.lit(p), "label_id").alias("name"))) for p in _CAP_ENDS],
-    )
+    names = F.transform("anchor_names", lambda x, i: F.struct(i.alias("i"), x.alias("name")))
+    if hooks:
+        own = F.array(*[F.struct(F.lit(-1).alias("i"), F.concat(F.lit(p), "label_id").alias("name")) for p in _CAP_ENDS])
+        names = F.when(F.col("kind").endswith("_cap"), F.concat(names, own)).otherwise(names)
     wanted = manifest.filter(n > 0).withColumn("n_names", n).select("*", F.explode(names).alias("want"))
     at = anchors.select("paper_id", F.col("name").alias("at_name"), F.col("posx_sp").alias("x"), F.col("posy_sp").alias("y"), F.col("abspage").alias("page"))
     j = wanted.join(at, (wanted.paper_id == at.paper_id) & (F.col("want.name") == F.col("at_name"))).drop(at.paper_id)
@@ -51,7 +51,7 @@ def _wraps(labels: DataFrame, boxes: DataFrame) -> DataFrame:
 def wraps(manifest: DataFrame, anchors: DataFrame, boxes: DataFrame, pages: DataFrame) -> DataFrame:
     """Boxes of wrapped objects: two anchors on one page and the measured size. Where the anchors'
     distance differs from the width by over 5 per cent, the width holds."""
-    j = _wraps(placed(manifest, anchors), boxes).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+    j = _wraps(placed(manifest.filter("method = 'wrap'"), anchors), boxes).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
     return j.select("paper_id", "ord", "label_id", "kind", "page", "x0", (F.col("height_pt") + F.col("above")).alias("y0"), "x1", (F.col("height_pt") + F.col("below")).alias("y1"))
 
 
@@ -65,7 +65,7 @@ def _pairs(labels: DataFrame) -> DataFrame:
 
 def chosen_pairs(manifest: DataFrame, anchors: DataFrame) -> DataFrame:
     """Span labels with the names of the first (top, bottom) pair of anchors that both exist."""
-    return _pairs(placed(manifest, anchors)).select("paper_id", "ord", "label_id", "kind", F.col("top.name").alias("top_name"), F.col("bot.name").alias("bot_name"))
+    return _pairs(placed(manifest.filter("method = 'span'"), anchors)).select("paper_id", "ord", "label_id", "kind", F.col("top.name").alias("top_name"), F.col("bot.name").alias("bot_name"))
 
 
 def _spans(labels: DataFrame, marks: DataFrame, page_info: DataFrame) -> DataFrame:
@@ -101,14 +101,14 @@ def _span_edges() -> tuple:
 def spans(manifest: DataFrame, anchors: DataFrame, marks: DataFrame, page_info: DataFrame, pages: DataFrame) -> DataFrame:
     """Boxes of spans, one a page they touch. x comes from the text block for labels that ask for it
     or cross pages, else from the top anchor and the width of its mark, the column or the text."""
-    j = _spans(placed(manifest, anchors), marks, page_info).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
+    j = _spans(placed(manifest.filter("method = 'span'"), anchors), marks, page_info).join(pages.select("paper_id", "page", "height_pt"), ["paper_id", "page"])
     y0, y1 = _span_edges()
     return j.select("paper_id", "ord", "label_id", "kind", "page", "x0", y0.alias("y0"), "x1", y1.alias("y1"))
 
 
 def resolve_labels(manifest: DataFrame, anchors: DataFrame, boxes: DataFrame, marks: DataFrame, page_info: DataFrame, pages: DataFrame) -> DataFrame:
     """Boxes of all labels (OUT), with what union_with_bodies needs of a label: float_id, and cap_y0 and cap_y1 of its own hooks on its page."""
-    labels = placed(manifest, anchors)
+    labels = placed(manifest, anchors, hooks=True)
     spans_ = _spans(labels, marks, page_info)
     wraps_ = _wraps(labels, boxes)
     both = wraps_.withColumn("span", F.lit(None).cast(spans_.schema["span"].dataType)).unionByName(spans_.withColumns({"above": F.lit(None).cast("double"), "below": F.lit(None).cast("double")}))
