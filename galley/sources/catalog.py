@@ -34,10 +34,12 @@ def catalog_rows(entries: DataFrame) -> DataFrame:
 
 
 def dedupe(rows: DataFrame) -> DataFrame:
-    """The first arrival of each arxiv_id, with also_in_archives: all archives that surfaced it, in order of arrival."""
-    w = Window.partitionBy("arxiv_id")
-    seen = F.transform(F.array_sort(F.collect_list(F.struct("arrival", "queried_archive")).over(w)), lambda x: x.queried_archive)
-    return rows.withColumns({"also_in_archives": seen, "_n": F.row_number().over(w.orderBy("arrival"))}).filter("_n = 1").drop("_n")
+    """The first arrival of each arxiv_id, with also_in_archives: all archives that surfaced it, in order of arrival. A list is made once
+    for an id, not for each of its rows."""
+    first = F.min_by(F.struct(*rows.columns), F.struct("arrival", "queried_archive")).alias("first")
+    seen = F.array_sort(F.collect_list(F.struct("arrival", "queried_archive"))).alias("seen")
+    found = rows.groupBy("arxiv_id").agg(first, seen)
+    return found.select("first.*", F.transform("seen", lambda x: x.queried_archive).alias("also_in_archives"))
 
 
 def per_archive(rows: DataFrame, target: int) -> DataFrame:
