@@ -13,25 +13,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def floats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One float a line item: paper, page, float_id, family, position, number of bodies, shift."""
-    family = F.when(F.col("l_returnflag") == "A", "figure").when(F.col("l_returnflag") == "N", "table").otherwise("algorithm")
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("paper_id"),
-        F.col("l_linenumber").alias("page"),
-        F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("float_id"),
-        family.alias("family"),
-        (F.col("l_quantity").cast("int") * 20).alias("x"),
-        (F.col("l_partkey") % 1000).cast("int").alias("y"),
-        (F.col("l_linenumber") % 3 + 1).alias("n"),
-        F.when(F.col("l_discount") >= 0.095, 700).otherwise(0).alias("dx"),
+def floats(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """One float a line item: paper, page, float_id, family, position, number of bodies, shift. dealt: the floats of a paper lie in one partition.
+    Then the fields travel as one array: nothing is pruned from it, so all relations of a paper share one exchange."""
+    item = F.array(
+        F.col("l_linenumber").cast("bigint"), "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.col("l_quantity").cast("int").cast("bigint"),
+        F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2).cast("bigint"), F.when(F.col("l_discount") >= 0.095, 700).otherwise(0).cast("bigint"),
+    )
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("paper_id"), item.alias("item"))
+    items = items.repartition("paper_id") if dealt else items
+    line, part, supp, cents, quantity, family, dx = (F.get("item", F.lit(i)) for i in range(7))
+    return items.select(
+        "paper_id",
+        line.cast("int").alias("page"),
+        F.concat_ws("_", "paper_id", line, part, supp, cents).alias("float_id"),
+        F.when(family == 0, "figure").when(family == 1, "table").otherwise("algorithm").alias("family"),
+        (quantity.cast("int") * 20).alias("x"),
+        (part % 1000).cast("int").alias("y"),
+        (line.cast("int") % 3 + 1).alias("n"),
+        dx.cast("int").alias("dx"),
     )
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """paper_id, page, float_id, kind, x, y, w, h (doubles), i: a caption (i = 0) and its bodies for each float."""
     box = F.explode(F.sequence(F.lit(0), F.col("n")))
-    f = floats(spark, sf_dir).withColumn("i", box)
+    f = floats(spark, sf_dir, dealt=True).withColumn("i", box)
     cap = F.col("i") == 0
     return f.select(
         "paper_id", "page", "float_id", "i",

@@ -526,7 +526,7 @@ def pageinfo_parse(spark, d):
 
 def _resolve_input(spark, d) -> dict[str, DataFrame]:
     """Relations for the resolver straight from the floats: wraps for bodies with n < 3, spans otherwise."""
-    f = A.floats(spark, d).withColumn("ord", F.xxhash64("float_id"))
+    f = A.floats(spark, d, dealt=True).withColumn("ord", F.xxhash64("float_id"))
     wrap = F.col("n") < 3
     names = lambda *s: F.array(*[F.concat("float_id", F.lit(x)) for x in s])
     manifest = f.select(
@@ -536,15 +536,17 @@ def _resolve_input(spark, d) -> dict[str, DataFrame]:
         F.when(wrap, "wrap").otherwise("span").alias("method"), (F.col("x") == 200).alias("use_textblock_x"),
     )
     sp = lambda v: (v * 65536).cast("bigint")
-    anchor = lambda s, x, y, p: f.select("paper_id", F.concat("float_id", F.lit(s)).alias("name"), sp(x).alias("posx_sp"), sp(y).alias("posy_sp"), p.cast("bigint").alias("abspage"))
-    anchors = (
-        anchor("-preL", F.col("x"), F.col("y") + 200, F.col("page")).unionByName(anchor("-postR", F.col("x") + 300 + F.col("dx"), F.col("y") + 200, F.col("page")))
-        .unionByName(anchor("-end", F.col("x"), F.col("y") + 20, F.col("page") + F.col("y") % 3 - 1))
-        .unionByName(f.select("paper_id", F.concat(F.lit("alx@cap@bot@"), "float_id").alias("name"), F.lit(0).cast("bigint").alias("posx_sp"), sp(F.col("y") - 50).alias("posy_sp"), F.col("page").cast("bigint").alias("abspage")))
+    anchor = lambda name, x, y, p: F.struct(name.alias("name"), sp(x).alias("posx_sp"), sp(y).alias("posy_sp"), p.cast("bigint").alias("abspage"))
+    own = lambda s: F.concat("float_id", F.lit(s))
+    x, y, page = F.col("x"), F.col("y"), F.col("page")
+    four = F.array(
+        anchor(own("-preL"), x, y + 200, page), anchor(own("-postR"), x + 300 + F.col("dx"), y + 200, page), anchor(own("-end"), x, y + 20, page + y % 3 - 1),
+        anchor(F.concat(F.lit("alx@cap@bot@"), "float_id"), F.lit(0), y - 50, page),
     )
+    anchors = f.select("paper_id", F.explode(four).alias("a")).select("paper_id", "a.*")
     boxes = f.select("paper_id", F.col("float_id").alias("box_id"), sp(F.lit(300)).alias("width_sp"), sp(F.lit(150)).alias("height_sp"), sp(F.lit(10)).alias("depth_sp"), F.lit(0).alias("hsize_sp"))
     marks = f.filter("y % 2 = 0").select("paper_id", F.concat("float_id", F.lit("-preL")).alias("mark_id"), sp(F.lit(250)).alias("hsize_sp"))
-    papers = f.select("paper_id").distinct()
+    papers = A.floats(spark, d).select("paper_id").distinct()
     info = papers.select("paper_id", *[sp(F.lit(v)).alias(f"{n}_sp") for n, v in zip(typeset.PAGE_FIELDS, (600, 1200, 430, 1000, -10, 5, 12, 20, 210, 10), strict=True)])
     pages = papers.select("paper_id", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("page")).withColumns({"width_pt": F.lit(640.0), "height_pt": F.lit(1250.0)})
     return {"manifest": manifest, "anchors": anchors, "boxes": boxes, "marks": marks, "page_info": info, "pages": pages}

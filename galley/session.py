@@ -17,6 +17,15 @@ def make_importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+#: With it at false, a join on the paper and more takes both sides as they lie, dealt by paper, and doesn't deal them again by all of its keys.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def join_as_dealt(spark: SparkSession, on: bool = True) -> None:
+    """Sets CO_PARTITION for the relations of papers, or back to Spark's default. Results don't depend on it, only exchanges."""
+    spark.conf.set(CO_PARTITION, str(not on).lower())
+
+
 def get_session(app: str = "galley", cores: int | None = None, **conf: str) -> SparkSession:
     """The active session, or a local one. On a cluster pass nothing: spark-submit's settings hold."""
     active = SparkSession.getActiveSession()
@@ -29,6 +38,7 @@ def get_session(app: str = "galley", cores: int | None = None, **conf: str) -> S
         "spark.sql.shuffle.partitions": str(cores or 8),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        CO_PARTITION: "false",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
     }
