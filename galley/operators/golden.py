@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galley.functions.dealing import by_paper
+
 
 def integer_box(*v: Column) -> Column:
     """Pixels rounded to integers, ties to even."""
@@ -18,7 +20,7 @@ def fingerprint_rows(ann: DataFrame) -> DataFrame:
 
 def fingerprints(ann: DataFrame, images: DataFrame) -> DataFrame:
     """One row a paper of images: categories (sorted), num_pages, labels sorted by page, kind, label_id."""
-    labels = fingerprint_rows(ann).groupBy("paper_id").agg(
+    labels = fingerprint_rows(by_paper(ann)).groupBy("paper_id").agg(
         F.sort_array(F.collect_set("kind")).alias("categories"), F.array_sort(F.collect_list(F.struct("page", "kind", "label_id", "bbox"))).alias("labels")
     )
     return images.groupBy("paper_id").agg(F.count(F.lit(1)).alias("num_pages")).join(labels, "paper_id", "left").select(
@@ -33,8 +35,8 @@ def close(a: Column, b: Column, tolerance: int = 2) -> Column:
 def label_diff(actual: DataFrame, golden: DataFrame, tolerance: int = 2) -> DataFrame:
     """(paper_id, page, label_id, problem) of label rows that don't match: extra, missing, kind, bbox."""
     key = ["paper_id", "page", "label_id"]
-    a = actual.select(*key, F.col("kind").alias("a_kind"), F.col("bbox").alias("a_box"), F.lit(True).alias("in_a"))
-    g = golden.select(*key, F.col("kind").alias("g_kind"), F.col("bbox").alias("g_box"), F.lit(True).alias("in_g"))
+    a = by_paper(actual).select(*key, F.col("kind").alias("a_kind"), F.col("bbox").alias("a_box"), F.lit(True).alias("in_a"))
+    g = by_paper(golden).select(*key, F.col("kind").alias("g_kind"), F.col("bbox").alias("g_box"), F.lit(True).alias("in_g"))
     j = a.join(g, key, "full_outer")
     problems = F.array_compact(
         F.array(
