@@ -35,10 +35,10 @@ def floats(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     )
 
 
-def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def annotations(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
     """paper_id, page, float_id, kind, x, y, w, h (doubles), i: a caption (i = 0) and its bodies for each float."""
     box = F.explode(F.sequence(F.lit(0), F.col("n")))
-    f = floats(spark, sf_dir, dealt=True).withColumn("i", box)
+    f = floats(spark, sf_dir, dealt).withColumn("i", box)
     cap = F.col("i") == 0
     return f.select(
         "paper_id", "page", "float_id", "i",

@@ -139,7 +139,7 @@ def pages_label_stats(spark, d):
     "annotations", "images",
 )
 def boxes_per_page_hist(spark, d):
-    return histograms.boxes_per_page(A.annotations(spark, d), A.images(spark, d))
+    return histograms.boxes_per_page(A.annotations(spark, d, dealt=False), A.images(spark, d))
 
 
 # labels -------------------------------------------------------------------------------------------
