@@ -213,10 +213,13 @@ def text_blocks(spark, d):
 
 def _tex(spark, d):
     """A TeX text for each order: a float a line item, in order of float id."""
-    f = A.floats(spark, d)
-    body = F.when(F.col("family") == "figure", F.lit("\\includegraphics{a}\n\\caption{A}")).when(F.col("family") == "table", F.lit("\\begin{tabular}{c}1\\end{tabular}")).otherwise(F.lit("\\caption{B}\nstep"))
-    env = F.concat(F.lit("\\begin{"), F.col("family"), F.lit("}\n"), body, F.lit("\n\\end{"), F.col("family"), F.lit("}"))
-    return f.withColumn("t", env).groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("float_id", "t"))), lambda r: r.t), "\n").alias("text"))
+    f = A.floats(spark, d).groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct("float_id", "family"))).alias("floats"))
+
+    def env(family):
+        body = F.when(family == "figure", F.lit("\\includegraphics{a}\n\\caption{A}")).when(family == "table", F.lit("\\begin{tabular}{c}1\\end{tabular}")).otherwise(F.lit("\\caption{B}\nstep"))
+        return F.concat(F.lit("\\begin{"), family, F.lit("}\n"), body, F.lit("\n\\end{"), family, F.lit("}"))
+
+    return f.select("paper_id", F.array_join(F.transform("floats", lambda r: env(r.family)), "\n").alias("text"))
 
 
 _RANKED = """r AS (SELECT paper_id, family, float_id AS f, row_number() OVER (PARTITION BY paper_id, family ORDER BY float_id) AS k,
@@ -232,7 +235,7 @@ _RANKED = """r AS (SELECT paper_id, family, float_id AS f, row_number() OVER (PA
 )
 def tex_instrument(spark, d):
     """Labels that rewriting gives, with running ids of each kind in the order of the passes."""
-    return tex.manifest(tex.instrument(_tex(spark, d))).select("paper_id", "ord", "label_id", "kind", "float_id", "method", F.array_join("anchor_names", ",").alias("anchors"))
+    return tex.labels(_tex(spark, d)).select("paper_id", "ord", "label_id", "kind", "float_id", "method", F.array_join("anchor_names", ",").alias("anchors"))
 
 
 @query(
