@@ -260,10 +260,21 @@ def environment_names(spark, d):
 )
 def tex_flattened(spark, d):
     """Main files with a section for each line item included, some by name alone, some from the root; comments and missing files stay."""
-    f = A.floats(spark, d).withColumns({"paper_id": F.col("paper_id").cast("string"), "name": F.concat(F.lit("s"), F.col("page").cast("string"))})
-    deep = F.col("n") == 1
-    sections = f.select("paper_id", F.concat(F.when(deep, F.lit("src/")).otherwise(F.lit("parts/")), "name", F.lit(".tex")).alias("path"), F.concat(F.lit("S"), F.col("page").cast("string")).alias("text"))
-    call = F.concat(F.lit("\\input{"), F.when(deep, F.col("name")).otherwise(F.concat(F.lit("parts/"), "name", F.lit(".tex"))), F.lit("}"))
-    mains = f.groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("float_id", call.alias("t")))), lambda r: r.t), "").alias("t"))
-    mains = mains.select("paper_id", F.lit("src/main.tex").alias("path"), F.concat(F.lit("\\documentclass{a}\\begin{document}"), "t", F.lit("%\\input{s1}\n\\input{none}")).alias("text"))
-    return tex.flattened(sections.unionByName(mains)).select("paper_id", "path", F.sha2("text", 256).alias("text_sha"))
+    f = A.floats(spark, d, dealt=True).select("paper_id", "float_id", "page", (F.col("n") == 1).alias("deep"))
+    papers = f.groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct("float_id", "page", "deep"))).alias("floats"))
+
+    def file(path, text):
+        return F.struct(path.alias("path"), text.alias("text"))
+
+    def name(r):
+        return F.concat(F.lit("s"), r.page.cast("string"))
+
+    def section(r):
+        return file(F.concat(F.when(r.deep, F.lit("src/")).otherwise(F.lit("parts/")), name(r), F.lit(".tex")), F.concat(F.lit("S"), r.page.cast("string")))
+
+    def call(r):
+        return F.concat(F.lit("\\input{"), F.when(r.deep, name(r)).otherwise(F.concat(F.lit("parts/"), name(r), F.lit(".tex"))), F.lit("}"))
+
+    main = F.concat(F.lit("\\documentclass{a}\\begin{document}"), F.array_join(F.transform("floats", call), ""), F.lit("%\\input{s1}\n\\input{none}"))
+    files = papers.select("paper_id", F.inline(F.array_append(F.transform("floats", section), file(F.lit("src/main.tex"), main))))
+    return tex.flattened(files).select("paper_id", "path", F.sha2("text", 256).alias("text_sha"))

@@ -31,3 +31,10 @@ def test_other_queries_keep_the_default(spark):
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     entry._ready(lambda s, d: s.range(1), True)(spark, DIR)
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+
+
+def test_files_are_dealt_by_paper_once(spark):
+    """Main files are found and flattened where the files of a paper lie: no second exchange, no join of papers one by one."""
+    assert [re.sub(r"#\d+", "", k) for k in exchanges(spark, "tex_flattened")] == ["paper_idL"]
+    plan = entry.queries()["tex_flattened"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "MapInArrow" in plan
